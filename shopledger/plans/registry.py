@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopledger.plans.adapters import Inputs
 
-GROUPS = ["erp", "clock"]
+GROUPS = ["erp", "clock", "bonus"]
 
 
 def _groups():
