@@ -152,19 +152,16 @@ def daily_output(
 ) -> DataFrame:
     """Quantity, make-ready, lines and revenue per process, day and member.
 
-    Output rows are summed before they meet the prices, and the prices of an
-    (order, product) are summed before they meet the output: a price list with
-    duplicates multiplies quantity and revenue as the row join would, without
-    its rows.  Each level below groups the one before it, every one with
-    map-side aggregation.
+    The prices of an (order, product) are summed before they meet the output: a
+    price list with duplicates multiplies quantity and revenue as the row join
+    would, without its rows.  The first grouping shuffles on all job, code and
+    style columns, so no single member, day or job gathers in one task; what is
+    left per job is its distinct codes and styles.
     """
-    rows = relabel_process(output).filter(_all_present(DAY))
-    rows = rows.groupBy(*JOB, "main_product_code", "makeup_style", "erp_num").agg(
-        F.sum("output_qty").alias("output_qty")
-    )
     price = prices.groupBy("erp_num", F.col("product_id").alias("main_product_code")).agg(
         F.count(F.lit(1)).alias("n_prices"), F.sum("price").alias("price")
     )
+    rows = relabel_process(output).filter(_all_present(DAY))
     priced = rows.join(price, ["erp_num", "main_product_code"], "left").withColumns(
         {
             "revenue": F.col("output_qty") * F.col("price"),
@@ -174,7 +171,8 @@ def daily_output(
     styles = priced.groupBy(*JOB, "main_product_code", "makeup_style").agg(
         F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue")
     )
-    codes = styles.groupBy(*JOB, "main_product_code").agg(
+    # One exchange serves both the code and the job level.
+    codes = styles.repartition(*JOB).groupBy(*JOB, "main_product_code").agg(
         F.count("makeup_style").alias("n_styles"),
         F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
     )
