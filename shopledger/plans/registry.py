@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopledger.plans.adapters import Inputs
 
-GROUPS = ["erp", "clock", "bonus", "pay", "sources"]
+GROUPS = ["erp", "clock", "bonus", "pay", "sources", "sales", "stream"]
 
 
 def _groups():
