@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopledger.operators.ordered import neighbours
-from shopledger.session import configure
+from shopledger.session import configure, store
 
 AS_OF = dt.datetime(2000, 1, 1, 12, 0, 0)
 PAY_START = dt.date(2024, 1, 1)
@@ -170,6 +170,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
+        self._stored: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -182,7 +183,6 @@ class Inputs:
     demand = cached_property(lambda self: self._sql("demand"))
     shipments = cached_property(lambda self: self._sql("shipments"))
     plan = cached_property(lambda self: self._sql("plan"))
-    timesheet = cached_property(lambda self: self._sql("timesheet"))
     payrate = cached_property(lambda self: self._sql("payrate"))
     holidays = cached_property(lambda self: self._sql("holidays"))
     sales_daily = cached_property(lambda self: self._sql("sales_daily"))
@@ -203,6 +203,38 @@ class Inputs:
             "user_id", F.col("ts").alias("s_ts"), "e_ts"
         )
 
+    @cached_property
+    def timesheet(self) -> DataFrame:
+        """One row per session, or two where it crosses midnight."""
+
+        def half(start, end):
+            return F.struct(start.cast("timestamp_ntz").alias("start_ts"), end.cast("timestamp_ntz").alias("end_ts"))
+
+        first, last = F.date_trunc("minute", "s_ts"), F.date_trunc("minute", "e_ts")
+        midnight = F.date_trunc("day", "e_ts")
+        whole = F.array(half(first, last))
+        halves = F.array(half(first, midnight), half(midnight, last))
+        same_day = F.to_date("s_ts") == F.to_date("e_ts")
+        rows = self.sessions.select("user_id", F.inline(F.when(same_day, whole).otherwise(halves)))
+        uid = F.col("user_id")
+        number = F.when(uid < 1000, F.lpad(uid.cast("string"), 3, "0")).otherwise(uid.cast("string"))
+        vacation = ((uid + F.dayofmonth("start_ts")) % 9).isin(0, 1)
+        departments = F.array(*[F.lit(d) for d in ("Production", "Business", "Warehouse", "Temp")])
+        return rows.select(
+            F.concat(F.lit("EE"), number).alias("employee_number"),
+            F.concat(F.lit("First"), uid.cast("string")).alias("first_name"),
+            F.concat(F.lit("Last"), (uid % 7).cast("string")).alias("last_name"),
+            F.get(departments, (uid % 4).cast("int")).alias("department"),
+            F.when(vacation, "Vacation - paid").otherwise("Shift").alias("job"),
+            "start_ts", "end_ts",
+        )
+
+    def stored(self, name: str, make) -> DataFrame:
+        """A table several parts of a query read: written once to the shared folder."""
+        if name not in self._stored:
+            self._stored[name] = store(make(), name)
+        return self._stored[name]
+
     @cached_property
     def schedule(self) -> DataFrame:
         """One schedule row per employee and day, at the hour of the last clock-in."""

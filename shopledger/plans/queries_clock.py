@@ -15,7 +15,9 @@ def rounded(df: DataFrame, *cols: str, digits: int = 4) -> DataFrame:
 
 
 def merged(i: Inputs) -> DataFrame:
-    return tc.merge_midnight(tc.working_hours(tc.drop_long_vacations(i.timesheet)))
+    # The merge reads its input twice, so that is a stored table.
+    hours = i.stored("hours", lambda: tc.working_hours(tc.drop_long_vacations(i.timesheet)))
+    return tc.merge_midnight(hours)
 
 
 def business(i: Inputs) -> DataFrame:
@@ -35,8 +37,12 @@ def final_timesheet(i: Inputs) -> DataFrame:
 
 
 def all_changes(i: Inputs) -> DataFrame:
+    rows = i.stored("merged", lambda: merged(i))
+    pairs = i.stored(
+        "matched", lambda: tc.match_schedule(tc.business_hours(rows), tc.available_schedule(i.schedule))
+    )
     return tc.change_log(
-        tc.business_changes(merged(i)), tc.schedule_changes(matched(i)), tc.lunch_changes(scheduled(i))
+        tc.business_changes(rows), tc.schedule_changes(pairs), tc.lunch_changes(tc.apply_schedule(pairs))
     )
 
 

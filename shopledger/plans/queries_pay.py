@@ -13,16 +13,13 @@ from shopledger.operators import payroll as pr
 from shopledger.plans import queries_bonus as qb
 from shopledger.plans.adapters import PAY_START, Inputs, ctes
 from shopledger.plans.queries_clock import STEPS, final_timesheet, rounded
-from shopledger.session import store
 
 PERIODS = 3
 
 
 def sheet(i: Inputs) -> DataFrame:
     """The adjusted time sheet, written once: every pay query reads it more than once."""
-    if not hasattr(i, "_sheet"):
-        i._sheet = store(final_timesheet(i), "timesheet")
-    return i._sheet
+    return i.stored("timesheet", lambda: final_timesheet(i))
 
 
 def totals(i: Inputs) -> DataFrame:
@@ -30,13 +27,11 @@ def totals(i: Inputs) -> DataFrame:
 
 
 def base(i: Inputs) -> DataFrame:
-    return pr.pay_base(sheet(i), i.payrate, i.holidays, PAY_START, PERIODS)
+    return i.stored("base", lambda: pr.pay_base(sheet(i), i.payrate, i.holidays, PAY_START, PERIODS))
 
 
 def production(i: Inputs) -> DataFrame:
-    if not hasattr(i, "_production"):
-        i._production = store(bo.production_bonus(qb.other(i)), "bonus")
-    return i._production
+    return bo.production_bonus(qb.other(i))
 
 
 def paid(i: Inputs) -> DataFrame:
