@@ -197,9 +197,6 @@ def late_orders_impact(
     lines = keyed.groupBy("order_key", "customer", "product", "delivery_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("order_count").cast("long")).alias("qty")
     )
-    per_order = _shipment_counts(shipments, policy).agg(F.count(F.lit(1)).alias("n_all"))
-
-    # One row per distinct (order, date) of either table; the window sees dates, not shipments.
     left = shipments.select(
         order_key(F.col("p_num"), policy).alias("order_key"), F.col("out_date").alias("at"),
         F.lit(1).alias("sent"), F.lit(0).alias("asked"),
@@ -207,25 +204,31 @@ def late_orders_impact(
     asked = keyed.select(
         "order_key", F.col("delivery_date").alias("at"), F.lit(0).alias("sent"), F.lit(1).alias("asked")
     )
+    # One row per distinct (order, date) of either table: the windows see dates, not shipments.
     dates = (
         left.unionByName(asked)
-        .filter(F.col("order_key").isNotNull() & F.col("at").isNotNull())
+        .filter(F.col("order_key").isNotNull())
         .groupBy("order_key", "at")
         .agg(F.sum("sent").alias("sent"), F.max("asked").alias("asked"))
     )
-    upto = Window.partitionBy("order_key").orderBy("at")
-    on_time = (
-        dates.withColumn("n_on_time", F.sum("sent").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
+    order = Window.partitionBy("order_key")
+    upto = order.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    counts = (
+        dates.withColumns(
+            {
+                "n_all": F.sum("sent").over(order),
+                "n_on_time": F.sum(F.when(F.col("at").isNotNull(), F.col("sent")).otherwise(0)).over(upto),
+            }
+        )
         .filter(F.col("asked") == 1)
-        .select("order_key", F.col("at").alias("delivery_date"), "n_on_time")
+        .select("order_key", F.col("at").alias("delivery_date"), "n_all", "n_on_time")
     )
     n_all = F.coalesce("n_all", F.lit(0))
     late = F.when(F.col("delivery_date") < _ts(as_of),
                   F.when(n_all == 0, 1).otherwise(n_all - F.coalesce("n_on_time", F.lit(0)))).otherwise(0)
     pairs = F.greatest(n_all, F.lit(1))
     return (
-        lines.join(per_order, "order_key", "left")
-        .join(on_time, ["order_key", "delivery_date"], "left")
+        lines.join(counts, ["order_key", "delivery_date"], "left")
         .groupBy("customer", "product", F.year("delivery_date").alias("delivery_year"),
                  F.month("delivery_date").alias("delivery_month"))
         .agg(

@@ -24,10 +24,14 @@ from shopledger.sources import files as fs
 
 
 def paths_by_role(spark: SparkSession, folder: str) -> dict[str, list[str]]:
-    """File paths of each role.  The list of names in a drop folder is small; contents are not read."""
-    routed = fs.route_files(spark, folder).select("role", F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))))
+    """Paths of the dropped files of each role.
+
+    Only names are listed, and the part files of one dropped folder count once.
+    """
+    dropped = F.regexp_replace(F.url_decode(F.replace("path", F.lit("+"), F.lit("%2B"))), "/part-[^/]*$", "")
+    routed = fs.route_files(spark, folder).select("role", dropped.alias("path")).distinct()
     paths: dict[str, list[str]] = {}
-    for role, path in routed.toLocalIterator():
+    for role, path in routed.sort("path").toLocalIterator():
         paths.setdefault(role, []).append(path)
     return paths
 

@@ -34,16 +34,17 @@ def sheets(i: Inputs) -> DataFrame:
     return bo.sheeting_daily(bo.clean_sheeting(i.sheeting))
 
 
-def sheeting(i: Inputs) -> DataFrame:
-    return bo.sheeting_bonus(hours(i), sheets(i), bo.clean_bonus_rate(i.bonus_rate))
+def sheeting(i: Inputs, worked: DataFrame | None = None) -> DataFrame:
+    return bo.sheeting_bonus(hours(i) if worked is None else worked, sheets(i), bo.clean_bonus_rate(i.bonus_rate))
 
 
-def other(i: Inputs) -> DataFrame:
-    return bo.other_process_bonus(hours(i), daily(i), bo.clean_bonus_rate(i.bonus_rate))
+def other(i: Inputs, worked: DataFrame | None = None) -> DataFrame:
+    return bo.other_process_bonus(hours(i) if worked is None else worked, daily(i), bo.clean_bonus_rate(i.bonus_rate))
 
 
 def performance(i: Inputs) -> DataFrame:
-    return bo.performance_union(sheeting(i), other(i))
+    worked = i.stored("worked", lambda: hours(i))
+    return bo.performance_union(sheeting(i, worked), other(i, worked))
 
 
 def _rule(tier: str):

@@ -220,7 +220,7 @@ QUERIES = {
              "employee_number": F.when(F.col("is_first"), F.col("employee_number"))}
         ).drop("is_first"),
         ["department"], ["sort_key", "start_ts", "end_ts", "job"],
-        [F.col("sort_key"), F.to_date("start_ts")], ["employee_number"],
+        [F.col("sort_key"), F.date_trunc("month", "start_ts")], ["employee_number"],
     ),
     "industry_mismatch": lambda i: cl.industry_mismatch(
         i.table("customer").select(F.col("c_name").alias("company_name"), F.col("c_mktsegment").alias("industry")),

@@ -13,6 +13,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Splitting a hot join key is worth another exchange behind the join.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A join whose shuffled partitions turn out small is hashed instead of sorted; larger ones still sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
