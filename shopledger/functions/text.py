@@ -22,7 +22,7 @@ def to_number(c: Column) -> Column:
 
 def first_code(c: Column) -> Column:
     """The part before the first ``|``."""
-    return F.get(F.split(c, r"\|"), F.lit(0))
+    return F.substring_index(c, "|", 1)
 
 
 def name_parts(users: Column) -> tuple[Column, Column]:

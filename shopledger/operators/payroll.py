@@ -166,13 +166,15 @@ def join_bonus(base: DataFrame, totals: DataFrame) -> DataFrame:
 
 def payroll(
     timesheet: DataFrame, rates: DataFrame, holidays: DataFrame, bonus: DataFrame, start: dt.date,
-    num_periods: int | None = 1, cap_regular: bool = False,
+    num_periods: int | None = 1, cap_regular: bool = False, base: DataFrame | None = None,
 ) -> DataFrame:
     """Salary, bonus, total compensation and holiday pay per employee and period.
 
     The total is salary plus bonus; the holiday pay is reported beside it.
+    ``base`` may be a stored ``pay_base``, which is read twice.
     """
-    base = pay_base(timesheet, rates, holidays, start, num_periods, cap_regular)
+    if base is None:
+        base = pay_base(timesheet, rates, holidays, start, num_periods, cap_regular)
     extra = holiday_pay(base, timesheet, holidays, start, num_periods)
     extra = extra.groupBy(*KEYS).agg(F.sum("holiday_pay").alias("holiday_pay"))
     paid = join_bonus(base, bonus_totals(bonus, start, num_periods)).join(extra, KEYS, "left")

@@ -129,7 +129,9 @@ def run_payroll(
     else:
         bonus = spark.createDataFrame([], "bonus_date date, employee_id string, bonus double")
     rates = fs.load_payrates(spark, payrates).withColumnRenamed("Employee ID", "employee_id")
-    paid = store(payroll.payroll(steps["timesheet"], rates, holidays, bonus, start, num_periods), "paid")
+    sheet = steps["timesheet"]
+    base = store(payroll.pay_base(sheet, rates, holidays, start, num_periods), "base")
+    paid = store(payroll.payroll(sheet, rates, holidays, bonus, start, num_periods, base=base), "paid")
     reports = {
         "summary": payroll.pay_summary(paid),
         "detail": payroll.pay_detail(paid, steps["timesheet"], start, num_periods),

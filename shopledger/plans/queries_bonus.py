@@ -27,7 +27,8 @@ def prices(i: Inputs) -> DataFrame:
 
 
 def daily(i: Inputs) -> DataFrame:
-    return bo.daily_output(output(i), prices(i))
+    # A stored table has a known size, by which Spark chooses the join.
+    return bo.daily_output(output(i), i.stored("prices", lambda: prices(i)))
 
 
 def sheets(i: Inputs) -> DataFrame:

@@ -35,7 +35,7 @@ def production(i: Inputs) -> DataFrame:
 
 
 def paid(i: Inputs) -> DataFrame:
-    return pr.payroll(sheet(i), i.payrate, i.holidays, production(i), PAY_START, PERIODS)
+    return pr.payroll(sheet(i), i.payrate, i.holidays, production(i), PAY_START, PERIODS, base=base(i))
 
 
 def holiday_pay(i: Inputs) -> DataFrame:
