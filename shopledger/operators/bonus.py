@@ -168,19 +168,23 @@ def daily_output(
             "output_qty": F.col("output_qty") * F.coalesce("n_prices", F.lit(1)),
         }
     )
-    styles = priced.groupBy(*JOB, "main_product_code", "makeup_style").agg(
+    # The job columns travel as one struct: a single grouping column keeps the generated code small.
+    priced = priced.select(
+        F.struct(*JOB).alias("job"), "main_product_code", "makeup_style", "output_qty", "revenue"
+    )
+    styles = priced.groupBy("job", "main_product_code", "makeup_style").agg(
         F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue")
     )
     # One exchange serves both the code and the job level.
-    codes = styles.repartition(*JOB).groupBy(*JOB, "main_product_code").agg(
+    codes = styles.repartition("job").groupBy("job", "main_product_code").agg(
         F.count("makeup_style").alias("n_styles"),
         F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
     )
-    jobs = codes.groupBy(*JOB).agg(
+    jobs = codes.groupBy("job").agg(
         F.count("main_product_code").alias("n_codes"),
         _zero_sum(F.when(F.col("main_product_code").isNotNull(), F.col("n_styles"))).alias("n_styles"),
         F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
-    )
+    ).select("job.*", "n_codes", "n_styles", "output_qty", "revenue")
     # A job with an unknown product, device or die counts no make-ready.
     counted = F.when(_all_present(JOB), make_ready(F.col("process"), F.col("n_codes"), F.col("n_styles")))
     devices = jobs.groupBy(*DAY, "device_name").agg(

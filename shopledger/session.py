@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # A join whose shuffled partitions turn out small is hashed instead of sorted; larger ones still sort.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # Generated methods above 8000 bytes are never compiled by the JVM; such stages run faster without them.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
