@@ -46,8 +46,7 @@ def ols_forecast(i: Inputs) -> DataFrame:
 
 
 def actual_vs_forecast(i: Inputs) -> DataFrame:
-    forecast = fc.sarima_forecast(train(i), ["sales"], HORIZON)
-    return fc.actual_vs_forecast(dense(i), forecast, ["sales"])
+    return rounded(fc.actual_vs_forecast(dense(i), naive(i), ["sales"]), "value", digits=2)
 
 
 QUERIES = {
@@ -149,6 +148,8 @@ SELECT out_date, {_PARTS.format('out_date')} FROM dates""",
   round(prediction, 2) AS prediction FROM aligned""",
     "forecast_metrics": f"""{_ALIGNED} SELECT sales, count(*) AS n_rows, round(avg((actual-prediction)*(actual-prediction)), 2)
   AS mse, round(avg(abs(actual-prediction)), 2) AS mae FROM aligned GROUP BY 1""",
+    "actual_vs_forecast": f"""{_WD}, {_NAIVE} SELECT sales, out_date, round(total_sales, 2) AS value, 'actual' AS kind
+  FROM dense UNION ALL SELECT sales, out_date, round(prediction, 2), 'forecast' FROM naive""",
     "forecast_quality": f"""{_WD}, {_NAIVE} SELECT sales, count(DISTINCT out_date) AS n_dates,
   count(*)-count(DISTINCT out_date) AS duplicate_dates, count(*) FILTER (prediction IS NULL) AS missing_predictions
   FROM naive GROUP BY 1""",
