@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,6 +14,11 @@ def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def naive(ts: dt.datetime) -> Column:
+    """A timestamp literal without zone, whatever the zone of the driver's clock."""
+    return F.lit(ts.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def minutes(n: int) -> Column:
     return F.make_dt_interval(mins=F.lit(n))
 

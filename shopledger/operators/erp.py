@@ -18,6 +18,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopledger.functions.clock import naive
 from shopledger.functions.text import is_blank
 
 # The status words of the plan table.
@@ -30,20 +31,16 @@ STATUS = {
 MISSING_DATE = dt.datetime(1900, 1, 1)
 
 
-def _ts(as_of: dt.datetime) -> Column:
-    return F.lit(as_of).cast("timestamp_ntz")
-
-
 def _days(n: int) -> Column:
     return F.make_dt_interval(days=F.lit(n))
 
 
 def _next_days(date: Column, as_of: dt.datetime, n: int) -> Column:
-    return date.between(_ts(as_of), _ts(as_of) + _days(n))
+    return date.between(naive(as_of), naive(as_of) + _days(n))
 
 
 def _past_year(date: Column, as_of: dt.datetime) -> Column:
-    return date.between(_ts(as_of) - F.make_ym_interval(years=F.lit(1)), _ts(as_of))
+    return date.between(naive(as_of) - F.make_ym_interval(years=F.lit(1)), naive(as_of))
 
 
 def _one_if(cond: Column) -> Column:
@@ -69,7 +66,7 @@ def order_key(p_num: Column, policy: str = "null") -> Column:
 
 def basic_overview(demand: DataFrame) -> DataFrame:
     """Row count and missing order number, delivery date and customer."""
-    no_date = F.col("delivery_date").isNull() | (F.col("delivery_date") == _ts(MISSING_DATE))
+    no_date = F.col("delivery_date").isNull() | (F.col("delivery_date") == naive(MISSING_DATE))
     return demand.agg(
         F.count(F.lit(1)).alias("total_records"),
         _count_if(is_blank(F.col("p_num"))).alias("missing_erp_num"),
@@ -82,7 +79,7 @@ def delivery_analysis(shipments: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Shipped quantity per order, product and due date, with the due status."""
     keys = ["p_num", "customer", "product", "delivery_date"]
     due = F.col("delivery_date")
-    status = F.when(due < _ts(as_of), "Missed").when(_next_days(due, as_of, 7), "Urgent")
+    status = F.when(due < naive(as_of), "Missed").when(_next_days(due, as_of, 7), "Urgent")
     # The status follows from the due date, so it need not be a grouping key.
     return (
         shipments.groupBy(*keys)
@@ -93,7 +90,7 @@ def delivery_analysis(shipments: DataFrame, as_of: dt.datetime) -> DataFrame:
 
 def shipped_past_30_days(shipments: DataFrame, as_of: dt.datetime) -> DataFrame:
     """What left in the last 30 days, by order, dates, customer, product and part."""
-    recent = F.col("out_date").between(_ts(as_of) - _days(30), _ts(as_of))
+    recent = F.col("out_date").between(naive(as_of) - _days(30), naive(as_of))
     return (
         shipments.filter(recent & ~is_blank(F.col("p_num")))
         .groupBy("p_num", F.col("out_date").alias("shipped_date"), "delivery_date", "customer",
@@ -224,7 +221,7 @@ def late_orders_impact(
         .select("order_key", F.col("at").alias("delivery_date"), "n_all", "n_on_time")
     )
     n_all = F.coalesce("n_all", F.lit(0))
-    late = F.when(F.col("delivery_date") < _ts(as_of),
+    late = F.when(F.col("delivery_date") < naive(as_of),
                   F.when(n_all == 0, 1).otherwise(n_all - F.coalesce("n_on_time", F.lit(0)))).otherwise(0)
     pairs = F.greatest(n_all, F.lit(1))
     return (
@@ -264,7 +261,7 @@ def machine_utilization(
     due = (
         demand.filter(_past_year(F.col("delivery_date"), as_of))
         .groupBy(order_key(F.col("p_num"), policy).alias("order_key"))
-        .agg(F.count(F.lit(1)).alias("n_due"), _count_if(F.col("delivery_date") < _ts(as_of)).alias("n_over"))
+        .agg(F.count(F.lit(1)).alias("n_due"), _count_if(F.col("delivery_date") < naive(as_of)).alias("n_over"))
     )
     n_due = F.col("n_due")
     sums = jobs.join(due, "order_key").groupBy("process", "device_name").agg(
@@ -309,7 +306,7 @@ def priority_urgency(
         F.col("qty_keyed").isNotNull() | F.col("qty_free").isNotNull(),
         F.coalesce(F.col("qty_keyed") * F.coalesce("n_all", F.lit(1)), F.lit(0)) + F.coalesce("qty_free", F.lit(0)),
     )
-    due, now = F.col("delivery_date"), _ts(as_of)
+    due, now = F.col("delivery_date"), naive(as_of)
     not_in_time = F.col("shipped_date").isNull() | (F.col("shipped_date") > due)
     score = (
         F.when((due < now) & not_in_time, 100)
@@ -362,7 +359,7 @@ def delivery_shipping_status(
     n_due, n_sent, n_plan = F.col("n_due"), F.coalesce("n_sent", F.lit(1)), F.coalesce("n_plan", F.lit(1))
     due, shipped = F.col("delivery_date"), F.col("shipped_date")
     status = (
-        F.when((due < _ts(as_of)) & shipped.isNull(), "Missed & Not Shipped")
+        F.when((due < naive(as_of)) & shipped.isNull(), "Missed & Not Shipped")
         .when(_next_days(due, as_of, 7) & shipped.isNull(), "Urgent & Not Shipped")
         .when(shipped.isNotNull(), "Shipped")
         .otherwise("Upcoming & Not Shipped")

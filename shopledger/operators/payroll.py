@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopledger.functions.clock import naive
 from shopledger.functions.pay import salary, with_pay_defaults
 from shopledger.functions.text import full_name
 
@@ -29,10 +30,7 @@ def period_dates(start: dt.date) -> dict[str, Column]:
 
 
 def in_periods(df: DataFrame, date: str, start: dt.date, num_periods: int | None = 1) -> DataFrame:
-    """Rows of the first ``num_periods`` pay periods (None: all from the start), with their period number.
-
-    The bounds are plain comparisons on the date, so they reach a stored table's scan.
-    """
+    """Rows of the first ``num_periods`` pay periods (None: all from the start), with their period number."""
     df = df.filter(F.col(date) >= F.lit(start))
     if num_periods is not None:
         df = df.filter(F.col(date) < F.lit(start + dt.timedelta(days=PERIOD_DAYS * num_periods)))
@@ -43,13 +41,26 @@ def dated(timesheet: DataFrame) -> DataFrame:
     return timesheet.withColumn("start_date", F.to_date("start_ts"))
 
 
+def sheet_in_periods(timesheet: DataFrame, start: dt.date, num_periods: int | None = 1) -> DataFrame:
+    """Time-sheet rows of the pay periods, with date and period.
+
+    The bounds are on the stored timestamp itself, so they reach the table's scan.
+    """
+    first = dt.datetime.combine(start, dt.time())
+    timesheet = timesheet.filter(F.col("start_ts") >= naive(first))
+    if num_periods is not None:
+        end = first + dt.timedelta(days=PERIOD_DAYS * num_periods)
+        timesheet = timesheet.filter(F.col("start_ts") < naive(end))
+    return dated(timesheet).withColumn("period", period_of(F.col("start_date"), start))
+
+
 def employee_totals(timesheet: DataFrame, start: dt.date, num_periods: int | None = 1) -> DataFrame:
     """Hours, days and names per employee and period; names come from the earliest row.
 
     Rows are summed per day first: the distinct days of a period are then a plain
     count, and an employee's rows meet in one task only as daily rows.
     """
-    rows = in_periods(dated(timesheet), "start_date", start, num_periods)
+    rows = sheet_in_periods(timesheet, start, num_periods)
     at = F.struct("start_ts", "end_ts", "job", "adj_start", "adj_end")
     days = (
         rows.filter(F.col("employee_number").isNotNull())
@@ -133,7 +144,7 @@ def holiday_pay(
     regular rate.  Temporary staff get 0.
     """
     days = in_periods(holidays, "holiday_date", start, num_periods)
-    worked = dated(timesheet).join(days.select("holiday_date").distinct(),
+    worked = sheet_in_periods(timesheet, start, num_periods).join(days.select("holiday_date").distinct(),
                                    F.col("start_date") == F.col("holiday_date"), "left_semi")
     worked = worked.groupBy("employee_number", F.col("start_date").alias("holiday_date")).agg(
         F.sum("working_hours").alias("holiday_hours")
@@ -202,7 +213,7 @@ def pay_detail(paid: DataFrame, timesheet: DataFrame, start: dt.date, num_period
         *KEYS, "period_start", "period_end", "total_hours", "reg_rate", "ot_rate", "pay_basis", "follow_clock",
         "ot_trigger_holiday", "ot_trigger_regular", "holiday_pay", "bonus", "total_compensation",
     )
-    rows = in_periods(dated(timesheet), "start_date", start, num_periods).select(
+    rows = sheet_in_periods(timesheet, start, num_periods).select(
         *KEYS, "first_name", "last_name", "job", "department", "start_ts", "end_ts", "adj_start", "adj_end",
         "working_hours",
     )

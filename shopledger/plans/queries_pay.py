@@ -54,7 +54,7 @@ def holiday_dim(i: Inputs) -> DataFrame:
 
 QUERIES = {
     "employee_totals": lambda i: rounded(totals(i), "total_hours"),
-    "period_filter": lambda i: pr.in_periods(pr.dated(i.timesheet), "start_date", PAY_START, 1),
+    "period_filter": lambda i: pr.sheet_in_periods(i.timesheet, PAY_START, 1),
     "payrate_join": lambda i: rounded(pr.join_rates(totals(i), i.payrate), "total_hours"),
     "unmatched_employees": lambda i: pr.unmatched_employees(pr.join_rates(totals(i), i.payrate)).select(
         "employee_number", "period", "first_name", "last_name"

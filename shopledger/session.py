@@ -38,6 +38,7 @@ def local_session(cpus: int | str = 8, app: str = "shopledger", **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.driver.extraJavaOptions", "-XX:+UseParallelGC")
         .config("spark.sql.shuffle.partitions", str(cpus))
     )
     for key, value in conf.items():
