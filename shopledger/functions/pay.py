@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: trigger hours of a rate row that names none.
 DEFAULT_TRIGGER = 80
 
 
-def with_pay_defaults(rates_joined):
+def with_pay_defaults(rates_joined: DataFrame) -> DataFrame:
     """Fill the optional rate columns; every later pay rule reads the filled ones."""
     return rates_joined.withColumns(
         {

@@ -144,6 +144,16 @@ def future_dates(
     return rows.select(*named, F.explode(dates).alias(date)).withColumns(date_parts(date))
 
 
+def feature_balance(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Sums of a value times each feature per key, in millions.
+
+    A least-squares fit is the one whose predictions have the balance of the
+    observed values, so comparing both checks a fit without solving it again.
+    """
+    sums = [F.sum(F.col(value) * x / 1e6).alias(f"balance_{n}") for n, x in ols_features().items()]
+    return frame.groupBy(*keys).agg(*sums)
+
+
 # -- seasonal model ----------------------------------------------------------
 
 

@@ -45,6 +45,14 @@ def ols_forecast(i: Inputs) -> DataFrame:
     return fc.score_ols(frame, model, ["sales"])
 
 
+def ols_balance(i: Inputs) -> DataFrame:
+    rows = i.stored("train", lambda: train(i))
+    fitted = fc.score_ols(rows, fc.fit_ols(rows, ["sales"]), ["sales"])
+    return rounded(
+        fc.feature_balance(fitted, ["sales"], "prediction"), *[f"balance_{n}" for n in fc.ols_features()], digits=3
+    )
+
+
 def actual_vs_forecast(i: Inputs) -> DataFrame:
     return rounded(fc.actual_vs_forecast(dense(i), naive(i), ["sales"]), "value", digits=2)
 
@@ -69,6 +77,7 @@ QUERIES = {
     "ols_gram": ols_gram,
     "ols_total": lambda i: fc.fit_ols(sa.daily_total(i.sales_daily).filter(F.col("out_date") < F.lit(SPLIT_DATE))),
     "ols_by_category": lambda i: fc.fit_ols(train(i), ["sales"]),
+    "ols_balance": ols_balance,
     "ols_forecast": ols_forecast,
     "sarima_by_series": lambda i: fc.sarima_forecast(train(i), ["sales"], HORIZON),
     "adf_statistic": lambda i: fc.adf_statistic(train(i), ["sales"]),
@@ -107,6 +116,7 @@ _GRAM = ", ".join(
     f"round(CAST(sum({_X[a]}*{_X[b]}) AS DOUBLE){'/1e6' if a == b == 'y' else ''}, 2) AS {a}_{b}"
     for n, a in enumerate(_X) for b in list(_X)[n:]
 )
+_BALANCE = ", ".join(f"round(sum(total_sales*{x}/1e6), 3) AS balance_{n}" for n, x in _X.items() if n != "y")
 _W_DIFF = "(PARTITION BY sales ORDER BY out_date)"
 
 
@@ -144,6 +154,7 @@ SELECT out_date, {_PARTS.format('out_date')} FROM dates""",
     "seasonal_difference": f"""{_WD} SELECT sales, out_date, round(total_sales-lag(total_sales, 1) OVER w
   -lag(total_sales, 12) OVER w+lag(total_sales, 13) OVER w, 2) AS w FROM dense WINDOW w AS {_W_DIFF}""",
     "ols_gram": f"{_WD} SELECT sales, {_GRAM} FROM dense WHERE out_date < {_SPLIT} GROUP BY 1",
+    "ols_balance": f"{_WD} SELECT sales, {_BALANCE} FROM dense WHERE out_date < {_SPLIT} GROUP BY 1",
     "forecast_align": f"""{_ALIGNED} SELECT sales, out_date, round(actual, 2) AS actual,
   round(prediction, 2) AS prediction FROM aligned""",
     "forecast_metrics": f"""{_ALIGNED} SELECT sales, count(*) AS n_rows, round(avg((actual-prediction)*(actual-prediction)), 2)
