@@ -8,6 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 from shopledger.plans.adapters import Inputs
+from shopledger.session import ship
 
 GROUPS = ["erp", "clock", "bonus", "pay", "sources", "sales", "stream"]
 
@@ -18,7 +19,11 @@ def _groups():
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(fn):
-        return lambda spark, sf_dir: fn(Inputs(spark, sf_dir))
+        def run(spark, sf_dir):
+            ship(spark)
+            return fn(Inputs(spark, sf_dir))
+
+        return run
 
     return {name: bind(fn) for g in _groups() for name, fn in g.QUERIES.items()}
 

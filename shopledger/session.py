@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
+ARCHIVE = "shopledger-package.zip"
+
 # Runtime SQL settings; none of them depends on the size of the cluster.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -27,9 +31,30 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship(spark)
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Functions that run in tasks refer to modules of the package, which a worker
+    can import only if it has them, wherever the driver was started.
+    """
+    context = spark.sparkContext
+    if any(f.endswith(f"{ARCHIVE}") for f in context._python_includes):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="shopledger-ship-"), ARCHIVE)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    archive.write(full, os.path.relpath(full, os.path.dirname(package)))
+    context.addPyFile(path)
+
+
 def local_session(cpus: int | str = 8, app: str = "shopledger", **conf: str) -> SparkSession:
     """A single-JVM session for tests and the benchmark."""
     builder = (
