@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES = {
     "op1_bpe": "bpe",
+    "op2_topk": "topk",
     "op8_packing": "packing",
 }
 
