@@ -30,7 +30,7 @@ from shopledger.llm.common import by_batch, table
 #: Symbols from which a heap finds the next merge.
 LONG = 64
 #: Words a worker remembers at least, and half of those it holds at most.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 NONE = 1 << 60
 #: White space to Python's str.split, but not to the tokenizer.
 SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -121,7 +121,10 @@ class Vocabulary(dict):
         return list(chain.from_iterable(map(self.__getitem__, chunks)))
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join([self.tokens[i] for i in ids if i in self.tokens])
+        try:
+            return " ".join(map(self.tokens.__getitem__, ids))
+        except KeyError:  # ids the vocabulary doesn't have are left out
+            return " ".join([self.tokens[i] for i in ids if i in self.tokens])
 
 
 def lower(text: str) -> str:

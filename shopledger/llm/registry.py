@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES = {
     "op1_bpe": "bpe",
     "op2_topk": "topk",
+    "op3_rules": "rules",
     "op8_packing": "packing",
     "op10_simhash": "simhash",
 }
