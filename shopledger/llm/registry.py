@@ -11,6 +11,7 @@ QUERIES = {
     "op1_bpe": "bpe",
     "op2_topk": "topk",
     "op3_rules": "rules",
+    "op4_quality": "classifier",
     "op8_packing": "packing",
     "op10_simhash": "simhash",
 }
