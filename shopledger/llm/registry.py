@@ -12,6 +12,7 @@ QUERIES = {
     "op2_topk": "topk",
     "op3_rules": "rules",
     "op4_quality": "classifier",
+    "op7_langid": "langid",
     "op8_packing": "packing",
     "op10_simhash": "simhash",
 }
