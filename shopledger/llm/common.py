@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -64,8 +63,3 @@ def slices(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
     for start in range(0, n, step):
         yield batch.slice(start, step)
 
-
-def one_thread() -> None:
-    """Keep native libraries of a task to the task's own core."""
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    os.environ.setdefault("RAYON_NUM_THREADS", "1")

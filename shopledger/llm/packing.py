@@ -5,68 +5,50 @@ shorter than a window, joins a group. When a group is full, or its partition end
 length, each into the open window with the least room that still takes it; a segment tree over the remaining room
 finds that window. Partitions pack for themselves: nothing is shuffled, and a lost task repeats its own result.
 
-Nulls and empty texts are documents of the closing id alone. Repeated rows, repeated or null ids are documents of
+Ids come from the byte-level vocabulary in its rank form; they equal those of the tokenizers library for the same
+vocabulary (tests compare them). Nulls and empty texts are documents of the closing id alone. Repeated rows, repeated or null ids are documents of
 their own. An empty table gives no piece. Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
 
+import base64
+import os
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import one_thread, slices, table
+from shopledger.llm.common import slices, table
 
 #: Tokens of a window.
 WINDOW = 1024
+END_OF_TEXT = "<|endoftext|>"
+#: The pattern that splits text before the merges (fixed value of the vocabulary).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces that are packed together: a task holds so many pieces below a window's length at most.
 GROUP = 16_384
-#: Chunks of text a worker remembers at least, and half of those it holds at most.
-REMEMBERED = 150_000
-#: White space besides single blanks and line ends, where a text isn't cut into chunks.
-OTHER_SPACE = [*"\0\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0     　", *map(chr, range(0x2000, 0x200B))]
-RUNS = ["  ", " \n", "\n ", "\n\n"]
-_LOADED: dict[str, Ids] = {}
+_LOADED: dict[str, tiktoken.Encoding] = {}
 
 
-class Ids:
-    """Little-endian 32-bit ids of texts; chunks (a word with the blank before it) seen before are looked up."""
-
-    def __init__(self, path: str):
-        one_thread()
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.seen: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    def of(self, texts: list[str]) -> list[bytes]:
-        cut = [chunks(t) for t in texts]
-        if len(self.seen) > REMEMBERED:
-            self.older, self.seen = self.seen, {}
-        new = [c for c in set(chain.from_iterable(cut)) if c not in self.seen]
-        self.seen |= {c: self.older[c] for c in new if c in self.older}
-        new = [c for c in new if c not in self.seen]
-        coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        self.seen |= {c: as_bytes(e.ids) for c, e in zip(new, coded)}
-        return [b"".join(map(self.seen.__getitem__, c)) for c in cut]
-
-
-def as_bytes(ids: list[int]) -> bytes:
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+def encoding(path: str) -> tiktoken.Encoding:
+    """The byte-level vocabulary of a rank file; the id behind the last one is its end-of-text sign."""
+    if path not in _LOADED:
+        with open(path, "rb") as file:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
+        _LOADED[path] = tiktoken.Encoding(
+            os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={END_OF_TEXT: max(ranks.values()) + 1}
+        )
+    return _LOADED[path]
 
 
-def chunks(text: str) -> list[str]:
-    """Parts that the tokenizer takes apart anyway: before a single blank, around a single line end."""
-    if text[:1] in ("", " ", "\n") or text[-1] in " \n" or any(r in text for r in RUNS) or any(c in text for c in OTHER_SPACE):
-        return [text]
-    return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+def ids_of(text: str, path: str) -> bytes:
+    """Little-endian 32-bit ids of a text."""
+    return np.array(encoding(path).encode_to_numpy(text, allowed_special="all"), dtype="<u4").tobytes() if text else b""
 
 
 class Room:
@@ -127,12 +109,11 @@ def pack(
     """One row per piece: its document, its ids (little-endian 32-bit), where they start in the document's ids, the
     document's number of ids, and the sequence and the offset where they lie.
 
-    ``path`` names the vocabulary on the executors; ``closing`` is the id behind each document.
+    ``path`` names the vocabulary's rank file on the executors; ``closing`` is the id behind each document.
     """
     end = closing.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _LOADED[path] if path in _LOADED else _LOADED.setdefault(path, Ids(path))
         sequence = TaskContext.get().partitionId() << 36
         rest: list[tuple] = []
 
@@ -146,9 +127,8 @@ def pack(
         for batch in batches:
             for part in slices(batch, 1 << 20):
                 full = []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc, data in zip(part.column(0).to_pylist(), ids.of(texts)):
-                    data += end
+                for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    data = ids_of(text or "", path) + end
                     n = len(data) // 4
                     for start in range(0, n, window):
                         piece = (doc, start, data[4 * start : 4 * (start + window)], n)
@@ -187,7 +167,7 @@ def op8_packing(spark, sf_dir: str) -> DataFrame:
     """Where the ids of every document lie in sequences of at most 1024."""
     import public_tokenizers
 
-    packed = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    packed = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return packed.select(
         F.col("id").alias("doc_id"), "start", (F.length("ids") / 4).cast("long").alias("length"),
         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",

@@ -13,6 +13,7 @@ QUERIES = {
     "op3_rules": "rules",
     "op4_quality": "classifier",
     "op7_langid": "langid",
+    "op5_pii": "pii",
     "op8_packing": "packing",
     "op10_simhash": "simhash",
 }
