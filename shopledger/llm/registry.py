@@ -15,6 +15,7 @@ QUERIES = {
     "op7_langid": "langid",
     "op5_pii": "pii",
     "op8_packing": "packing",
+    "op9_suffix": "suffix",
     "op10_simhash": "simhash",
 }
 
