@@ -12,6 +12,7 @@ QUERIES = {
     "op2_topk": "topk",
     "op3_rules": "rules",
     "op4_quality": "classifier",
+    "op6_lines": "lines",
     "op7_langid": "langid",
     "op5_pii": "pii",
     "op8_packing": "packing",
