@@ -81,21 +81,21 @@ def fit(df: DataFrame, labels: DataFrame, label: str = "quality", id_col: str =
     chosen = F.broadcast(known.orderBy(F.xxhash64("id"), "id").limit(sample))  # at most ``sample`` pairs of numbers
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").select(
         F.xxhash64("id").alias("place"), "text", "label"
-    )
+    ).withColumn("shard", F.pmod("place", F.lit(SHARDS)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
+        shards: dict[int, list[tuple]] = {}
         for batch in batches:
             for part in slices(batch, 1 << 20):
-                for place, text, good in zip(*(c.to_pylist() for c in part.columns)):
+                for place, text, good, shard in zip(*(c.to_pylist() for c in part.columns)):
                     number, value = features(text)
-                    found.append((place, number.astype(np.int32), value.astype(np.float32), good))
-        if found:
+                    shards.setdefault(shard, []).append((place, number.astype(np.int32), value.astype(np.float32), good))
+        for found in shards.values():
             found.sort(key=lambda r: r[0])
             w = learn([(number, value) for _, number, value, _ in found], [good for *_, good in found])
             yield pa.record_batch([pa.array([w.tobytes()]), pa.array([len(found)], pa.int64())], ["weights", "rows"])
 
-    learned = rows.repartition(SHARDS, "place").mapInArrow(run, "weights binary, rows long").collect()  # SHARDS rows
+    learned = rows.repartition(SHARDS, "shard").mapInArrow(run, "weights binary, rows long").collect()  # SHARDS rows
     if not learned:
         return np.zeros(1 << BITS, np.float32)
     return np.average([np.frombuffer(r.weights, np.float32) for r in learned], axis=0, weights=[r.rows for r in learned]).astype(np.float32)
