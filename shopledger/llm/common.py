@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
-from shopledger.session import ship
+from shopledger.session import ship, store
 
 #: Rows and bytes of one Arrow batch: documents differ by orders of magnitude, so both are bounded.
 BATCH = {
@@ -43,7 +45,7 @@ def unsigned_hex(column: Column) -> Column:
 
 
 def by_batch(
-    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, most_bytes: int = 4 << 20
+    df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType, most_bytes: int = 4 << 20
 ) -> DataFrame:
     """Apply ``fn`` to slices of the rows of at most about ``most_bytes`` each (one row at least)."""
 
@@ -57,6 +59,39 @@ def by_batch(
     return df.mapInArrow(run, schema)
 
 
+def with_columns(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], list[pa.Array]], added: dict[str, str]) -> DataFrame:
+    """All rows and columns of ``df`` and, from the texts of each batch, the columns of ``added`` (name -> type)."""
+    names = df.columns
+    where = names.index(text_col)
+    schema = StructType([*df.schema.fields, *(StructField(n, _parse_datatype_string(t)) for n, t in added.items())])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.record_batch([*batch.columns, *fn(batch.column(where).to_pylist())], [*names, *added])
+
+    return by_batch(df, run, schema)
+
+
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, changed where ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def placed(df: DataFrame, file: str, row: str) -> DataFrame:
+    """``df`` with its rows' places: a hash of the file and the number in it. Rows that don't come from files are written first."""
+    place = [F.xxhash64("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)]
+    try:
+        return df.select("*", *place)
+    except AnalysisException:
+        return store(df, "placed").select("*", *place)
+
+
 def slices(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
     n = batch.num_rows
     step = max(1, n * most_bytes // max(1, batch.nbytes))

@@ -240,6 +240,18 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     return Model(languages, np.frombuffer(r.weights, np.float32).reshape(-1, n), np.frombuffer(r.transition).reshape(n, n), r.key)
 
 
+def labels_of(spark, model: Model):
+    """A function from texts to an Arrow column of their languages, for tasks."""
+    sent = spark.sparkContext.broadcast(model)
+
+    def labels(texts: list[str | None]) -> list[pa.Array]:
+        found = labeller(sent.value).texts(texts)[0] if model_size else [UNKNOWN] * len(texts)
+        return [pa.array(found, pa.string())]
+
+    model_size = len(model.languages)
+    return labels
+
+
 def predict(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, lang_pred, score) of every row."""
     if not model.languages:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch, slices, table
+from shopledger.llm.common import by_batch, fresh, slices, table
 from shopledger.llm.graph import components
 from shopledger.session import store
 
@@ -418,14 +418,18 @@ def described_places(texts: DataFrame, classes: np.ndarray) -> DataFrame:
 
 def without_similar_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``df``, the text without the lines that have an earlier similar one, and ``lines_removed``."""
-    named = df.withColumn("__hash", F.xxhash64(text_col))
-    docs = named.select(F.col(id_col).alias("id"), F.col("__hash").alias("hash"), F.col(text_col).alias("text"))
-    gone = removed_lines(docs).select(F.col("id").alias("__id"), F.col("hash").alias("__of"), F.col("lines").alias("__lines"))
-    joined = named.join(gone, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__of")), "left")
-    kept = F.expr(
-        f"case when __lines is null then `{text_col}` else array_join(filter(split(`{text_col}`, '\\n', -1), (x, i) -> not array_contains(__lines, i)), '\\n') end"
+    df = df.drop("lines_removed")
+    own, other, of, numbers = fresh(df, "own_hash", "other_id", "other_hash", "line_numbers")
+    named = df.withColumn(own, F.xxhash64(text_col))
+    docs = named.select(F.col(id_col).alias("id"), F.col(own).alias("hash"), F.col(text_col).alias("text"))
+    gone = removed_lines(docs).select(F.col("id").alias(other), F.col("hash").alias(of), F.col("lines").alias(numbers))
+    joined = named.join(gone, F.col(id_col).eqNullSafe(F.col(other)) & (F.col(own) == F.col(of)), "left")
+    kept = F.expr(f"array_join(filter(split(`{text_col}`, '\\n', -1), (x, i) -> not array_contains({numbers}, i)), '\\n')")
+    count = F.when(F.col(numbers).isNull(), 0).otherwise(F.size(numbers)).cast("long")
+    return joined.select(
+        *(F.when(F.col(numbers).isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in df.columns),
+        count.alias("lines_removed"),
     )
-    return joined.withColumn(text_col, kept).withColumn("lines_removed", F.when(F.col("__lines").isNull(), 0).otherwise(F.size("__lines")).cast("long")).select(*df.columns, "lines_removed")
 
 
 def op6_lines(spark, sf_dir: str) -> DataFrame:

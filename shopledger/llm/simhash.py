@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch, table, unsigned_hex
+from shopledger.llm.common import by_batch, fresh, placed, table, unsigned_hex
 from shopledger.llm.graph import components
 from shopledger.session import store
 
@@ -174,6 +174,16 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return rows.join(named.select("fp", "root").join(least, "root").select("fp", "component"), "fp").select("id", "fp", "component")
 
 
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
+    """All columns of one row of each component: the one with the smallest id, and the first in the files of those."""
+    file, row, id_ = fresh(df, "row_file", "row_number", "row_id")
+    rows = placed(df, file, row)
+    named = rows.withColumn(id_, F.struct(F.col(id_col).alias("id"), F.col(file).alias("file"), F.col(row).alias("row")))
+    least = near_duplicates(named, id_, text_col, size, limit).select("component.file", "component.row").distinct()
+    keep = least.select(F.col("file").alias(file), F.col("row").alias(row))
+    return rows.join(keep, [file, row], "left_semi").select(*df.columns)
+
+
 def op10_simhash(spark, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = near_duplicates(table(spark, sf_dir, "documents"))

@@ -25,11 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch, table
+from shopledger.llm.common import by_batch, placed, table
 from shopledger.session import store
 
 #: Bytes of a repeated string, of an anchor's gram, and of the regions a shard's suffix array is built over.
@@ -75,16 +74,6 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return places, h[places]
 
 
-def numbered(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(file, row, id, text): rows by their place in the file; rows that don't come from files are written first."""
-    try:
-        return df.select(
-            F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text")
-        )
-    except AnalysisException:
-        return numbered(store(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "numbered"), "id", "text")
-
-
 def anchor_rows(docs: DataFrame) -> DataFrame:
     """(file, row, place, hash, begin, size, region): every anchor, its region in the document and the region's hash."""
     from xxhash import xxh3_64_intdigest
@@ -371,7 +360,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_bytes, spans, kept) of every row: the removed runs, and the bytes that stay."""
-    docs = numbered(df, id_col, text_col)
+    docs = placed(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "file", "row").select("file", "row", "id", "text")
     joined = docs.join(repeated_runs(docs), ["file", "row"], "left").select("id", "text", "starts", "stops")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
