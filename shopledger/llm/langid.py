@@ -31,6 +31,8 @@ from shopledger.llm.common import by_batch, held_out, table
 BITS, GRAMS = 16, (1, 2, 3, 4)
 #: Rows learned from for each language, and their longest text; passes, chains of a step, words of a part, parts of a chain.
 SAMPLE, LONGEST, PASSES, CHAINS, PART, PARTS = 300, 20_000, 4, 64, 12, 6
+#: Parts in which a language's rows are ranked.
+SALTS = 64
 #: Step size, penalty.
 STEP, L2 = 0.3, 1e-4
 #: Words a worker remembers.
@@ -219,9 +221,14 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id"))
     )
     whole = known.where((F.length("text") > 0) & (F.length("text") <= LONGEST))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "hash"))
-    chosen = whole.select("id", "lang", F.xxhash64("text").alias("hash")).withColumn("place", place).where(F.col("place") <= sample)
-    rows = whole.withColumn("hash", F.xxhash64("text")).join(chosen, ["id", "lang", "hash"]).select("place", "lang", "text")
+    order = [F.xxhash64("id"), "id", "hash"]
+    named = whole.withColumn("hash", F.xxhash64("text"))
+    chosen = named.select("id", "lang", "hash").withColumn("salt", F.pmod("hash", F.lit(SALTS)))
+    # the first of each salt, then the first of those: no task ranks all rows of a language
+    for keys in (["lang", "salt"], ["lang"]):
+        chosen = chosen.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("place") <= sample)
+    # ``sample`` ids for each language
+    rows = named.join(F.broadcast(chosen.select("id", "lang", "hash", "place")), ["id", "lang", "hash"]).select("place", "lang", "text")
     languages = sorted(r.lang for r in known.select("lang").distinct().collect())  # the labels themselves
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
