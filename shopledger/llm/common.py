@@ -68,7 +68,7 @@ def with_columns(df: DataFrame, text_col: str, fn: Callable[[list[str | None]],
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.record_batch([*batch.columns, *fn(batch.column(where).to_pylist())], [*names, *added])
 
-    return by_batch(df, run, schema)
+    return by_batch(df, run, schema, 2 << 20)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -92,6 +92,13 @@ def placed(df: DataFrame, file: str, row: str) -> DataFrame:
         return store(df, "placed").select("*", *place)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """``store``, after which the shuffle files of the written plan may go: Spark drops them when the driver's garbage is collected."""
+    out = store(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def slices(batch: pa.RecordBatch, most_bytes: int) -> Iterator[pa.RecordBatch]:
     n = batch.num_rows
     step = max(1, n * most_bytes // max(1, batch.nbytes))

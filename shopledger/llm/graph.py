@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.session import store
+from shopledger.llm.common import stored
+
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,7 +16,7 @@ def components(links: DataFrame) -> DataFrame:
     stars. Each step is one aggregation and one join; its result is written to the shared folder, so that a step can be
     repeated from there when executors are lost. Null and self links are left out.
     """
-    links = store(
+    links = stored(
         links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
     while True:
@@ -28,7 +29,7 @@ def components(links: DataFrame) -> DataFrame:
         small = moved.where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
             least.select("a", F.col("least").alias("b"))
         ).where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        after = store(small, "links")
+        after = stored(small, "links")
         if after.exceptAll(links).isEmpty() and links.exceptAll(after).isEmpty():
             return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
         links = after

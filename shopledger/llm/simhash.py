@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch, fresh, placed, table, unsigned_hex
+from shopledger.llm.common import by_batch, fresh, placed, stored, table, unsigned_hex
 from shopledger.llm.graph import components
-from shopledger.session import store
 
 #: Words of a shingle, seed of its hash, most differing bits of a link.
 SHINGLE, SEED, LIMIT = 3, 42, 2
@@ -165,11 +164,11 @@ def links(fps: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, limit: int = LIMIT) -> DataFrame:
     """(id, fp, component) of every row: the component is the smallest id reachable by links."""
-    rows = store(fingerprints(df, id_col, text_col, size), "fingerprints")
+    rows = stored(fingerprints(df, id_col, text_col, size), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(fps.select("fp"), limit))
     named = fps.join(roots, fps.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    named = store(named, "roots")
+    named = stored(named, "roots")
     least = named.groupBy("root").agg(F.min("least").alias("component"))
     return rows.join(named.select("fp", "root").join(least, "root").select("fp", "component"), "fp").select("id", "fp", "component")
 

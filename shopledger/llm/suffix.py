@@ -1,8 +1,8 @@
 """Removal of repeated byte strings by suffix arrays.
 
 Every string of ``LENGTH`` bytes has an anchor: the place in it whose ``GRAM`` bytes have the smallest hash. Equal
-strings have their anchors at the same place, so all occurrences of a string lie in the regions (``LENGTH`` bytes to
-either side, at most) of anchors with one hash. Anchors whose hash occurs once need no work. Regions of equal content
+strings have their anchors at the same place, so all occurrences of a string lie in the regions (all strings that have
+the same anchor) of anchors with one hash. Anchors whose hash occurs once need no work. Regions of equal content
 are one row; if the content occurs twice, all of it is repeated. What remains are anchors with regions that differ:
 
 * a shard holds whole anchors up to ``SHARD`` bytes; its suffix array is built by Larsson-Sadakane refinement in numpy
@@ -28,11 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch, placed, table
-from shopledger.session import store
+from shopledger.llm.common import by_batch, placed, stored, table
 
 #: Bytes of a repeated string, of an anchor's gram, and of the regions a shard's suffix array is built over.
-LENGTH, GRAM, SHARD = 400, 32, 1 << 20
+LENGTH, GRAM, SHARD = 400, 32, 1 << 18
 REACH = LENGTH - GRAM
 U = np.uint64
 MULTIPLIERS = [U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)]
@@ -59,42 +58,45 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
 
 
-def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of documents that lie one after the other, ending at ``ends``."""
+def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the anchors of documents that lie one after the other, ending at ``ends``, and where the first and the
+    last string start that have each for their anchor."""
     if len(data) < LENGTH:
-        return np.empty(0, np.int64), np.empty(0, U)
+        return np.empty(0, U), np.empty(0, np.int64), np.empty(0, np.int64)
     h = gram_hashes(data)
     least = sliding_min((h >> U(32) << U(32)) | np.arange(len(h), dtype=U), REACH + 1)
     sizes = np.diff(ends, prepend=0)
     within = np.ones(len(data), bool)
     for end, size in zip(ends[sizes > 0], sizes[sizes > 0]):  # strings that would pass a document's end
         within[max(end - size, end - LENGTH + 1) : end] = False
-    places = (least[within[: len(least)]] & U(0xFFFFFFFF)).astype(np.int64)
-    places = places[np.diff(places, prepend=-1) != 0]
-    return places, h[places]
+    starts = np.flatnonzero(within[: len(least)])
+    places = (least[starts] & U(0xFFFFFFFF)).astype(np.int64)
+    first = np.flatnonzero(np.diff(places, prepend=-1))
+    last = np.append(first[1:], len(starts)) - 1
+    return h[places[first]], starts[first], starts[last]
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """(file, row, place, hash, begin, size, region): every anchor, its region in the document and the region's hash."""
+    """(file, row, hash, begin, size, region): every anchor, its region in the document and the region's hash."""
     from xxhash import xxh3_64_intdigest
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(2).to_pylist()]
         whole = b"".join(texts)
         ends = np.cumsum([len(t) for t in texts])
-        places, hashes = anchors(np.frombuffer(whole, np.uint8), ends)
-        doc = np.searchsorted(ends, places, side="right")
+        hashes, begin, last = anchors(np.frombuffer(whole, np.uint8), ends)
+        end = last + LENGTH
+        doc = np.searchsorted(ends, begin, side="right")
         first = (ends - [len(t) for t in texts])[doc] if len(doc) else np.empty(0, np.int64)
-        begin, end = np.maximum(first, places - REACH), np.minimum(ends[doc], places + LENGTH)
         view = memoryview(whole)
         region = np.fromiter((xxh3_64_intdigest(view[a:b]) for a, b in zip(begin.tolist(), end.tolist())), U, len(begin))
         return pa.record_batch(
-            [batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)), pa.array(places - first), pa.array(hashes.view(np.int64)),
+            [batch.column(0).take(pa.array(doc)), batch.column(1).take(pa.array(doc)), pa.array(hashes.view(np.int64)),
              pa.array(begin - first), pa.array((end - begin).astype(np.int32)), pa.array(region.view(np.int64))],
-            ["file", "row", "place", "hash", "begin", "size", "region"],
+            ["file", "row", "hash", "begin", "size", "region"],
         )
 
-    schema = "file long, row long, place long, hash long, begin long, size int, region long"
+    schema = "file long, row long, hash long, begin long, size int, region long"
     return by_batch(docs.select("file", "row", "text"), run, schema, 1 << 20)
 
 
@@ -102,7 +104,7 @@ def refined(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Suffix array and ranks; a suffix ends with its region (``ends`` per byte), equal ones keep the regions' order.
 
     Larsson-Sadakane: a rank is the place where its group starts; each round sorts the members of groups that still
-    tie by the rank of the suffix as many bytes further on.
+    tie by the ranks of the suffixes further on, which here triples the depth (doubles it, if two ranks fill a key).
     """
     n = len(text)
     at = np.arange(n)
@@ -111,30 +113,35 @@ def refined(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     for k in range(7):
         key <<= U(9)
         key[: n - k] |= np.where(at[: n - k] + k < ends[: n - k], signs[k:], U(0))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     start = np.ones(n, bool)
     start[1:] = key[order[1:]] != key[order[:-1]]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(start, at, 0))
     size, depth = 7, int((ends - at).max()) if n else 0
-    while size < depth:
+    times = 3 if n < 1 << 21 else 2
+    base = np.append(rank + 1, 0)  # the rank behind the end is 0
+    while True:
         last = np.append(start[1:], True)
         open_ = np.flatnonzero(~(start & last))  # places in groups of two or more
-        if not len(open_):
-            break
         member = order[open_]
-        to = member + size
-        inside = to < ends[member]
-        after = np.where(inside, rank[np.where(inside, to, 0)] + 1, 0)
-        again = np.argsort(rank[member] * (n + 1) + after, kind="stable")
-        member, after = member[again], after[again]
-        order[open_] = member
         group = rank[member]
+        if size >= depth or not len(open_):
+            break
+        key = group
+        for k in range(1, times):
+            to = member + k * size
+            key = key * (n + 1) + base[np.where(to < ends[member], to, n)]
+        again = np.argsort(key)
+        member, key, group = member[again], key[again], group[again]
+        order[open_] = member
         new = np.ones(len(open_), bool)
-        new[1:] = (group[1:] != group[:-1]) | (after[1:] != after[:-1])
+        new[1:] = key[1:] != key[:-1]
         start[open_] = new
         rank[member] = np.maximum.accumulate(np.where(new, open_, 0))
-        size *= 2
+        base[member] = rank[member] + 1
+        size *= times
+    order[open_] = member[np.argsort(group * n + member)]
     rank[order] = at
     return order, rank
 
@@ -152,14 +159,20 @@ def extended(words: np.ndarray, a: np.ndarray, b: np.ndarray, have: np.ndarray,
     """Common prefix of the suffixes a and b, of which ``have`` is known, up to ``limit``."""
     out = np.minimum(have, limit)
     go = np.flatnonzero(out < limit)
+    a, b, at, most = a[go], b[go], out[go], limit[go]
     while len(go):
-        at = out[go]
-        differ = words[a[go] + at] ^ words[b[go] + at]
-        same = np.full(len(go), 8)
-        some = differ != 0
-        same[some] = 7 - np.searchsorted(STEPS, differ[some], side="right")
-        out[go] = np.minimum(at + same, limit[go])
-        go = go[~some & (out[go] < limit[go])]
+        differ = words[a + at] ^ words[b + at]
+        same = differ == 0
+        at = at + 8
+        if not same.all():
+            some = ~same
+            at[some] -= 1 + np.searchsorted(STEPS, differ[some], side="right")
+        on = same & (at < most)
+        if on.all():
+            continue
+        done = ~on
+        out[go[done]] = np.minimum(at[done], most[done])
+        go, a, b, at, most = go[on], a[on], b[on], at[on], most[on]
     return out
 
 
@@ -168,10 +181,12 @@ STEPS = np.array([1 << s for s in range(8, 64, 8)], U)
 
 
 def kasai(text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, ends: np.ndarray, order: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Common prefix (up to LENGTH) of each suffix with the one before it in the array, by place in the text.
+    """Common prefix (up to LENGTH) of each suffix of LENGTH bytes or more with the one before it in the array, by place
+    in the text; 0 for shorter ones.
 
     Kasai's walk: behind a suffix with h bytes in common follows one with h - 1 at least. All regions walk at once.
     """
+    sizes = np.maximum(sizes - LENGTH + 1, 0)
     words = words_of(text)
     out = np.zeros(len(text), np.int64)
     by_size = np.argsort(-sizes, kind="stable")
@@ -330,14 +345,14 @@ def fetched(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def repeated_runs(docs: DataFrame) -> DataFrame:
     """(file, row, starts, stops): runs of repeated bytes of each document that has any; they may overlap."""
-    found = store(anchor_rows(docs), "anchors")
+    found = stored(anchor_rows(docs), "anchors")
     regions = found.groupBy("hash", "region").agg(
         F.count("*").alias("n"), F.min(F.struct("file", "row", "begin", "size")).alias("at")
     )
     hashes = regions.groupBy("hash").agg(
         F.sum("n").alias("places"), F.count("*").alias("regions"), F.sum(F.col("at.size").cast("long")).alias("bytes")
     ).where("places > 1")
-    kept = store(regions.join(hashes, "hash"), "regions")
+    kept = stored(regions.join(hashes, "hash"), "regions")
     whole = kept.where(f"n > 1 and at.size >= {LENGTH}").select(
         "hash", "region", F.array(F.lit(0).cast("long")).alias("starts"), F.array(F.col("at.size").cast("long")).alias("stops")
     )
@@ -350,7 +365,7 @@ def repeated_runs(docs: DataFrame) -> DataFrame:
         "shard", F.xxhash64("hash", F.least("own", "other"), F.greatest("own", "other"))
     ).withColumn("side", F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int")))
     partly = searched(met)
-    covered = store(whole.unionByName(partly), "covered")
+    covered = stored(whole.unionByName(partly), "covered")
     return (
         found.join(covered, ["hash", "region"])
         .select("file", "row", F.transform("starts", lambda x: x + F.col("begin")).alias("starts"), F.transform("stops", lambda x: x + F.col("begin")).alias("stops"))

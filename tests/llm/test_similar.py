@@ -129,7 +129,7 @@ def test_suffix_array_and_prefixes():
     for a, b in zip(order, order[1:]):
         x, y = suffixes[a][0], suffixes[b][0]
         n = next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))
-        assert common[b] == min(n, suffix.LENGTH)
+        assert common[b] == (min(n, suffix.LENGTH) if len(y) >= suffix.LENGTH else 0)
 
 
 @pytest.mark.parametrize("common", [1 << 15, 3])
