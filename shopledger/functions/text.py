@@ -36,13 +36,6 @@ def full_name(first: Column, last: Column) -> Column:
     return F.concat(first, F.lit(" "), last)
 
 
-def contains_any(c: Column, words: list[str]) -> Column:
-    hit = F.lit(False)
-    for word in words:
-        hit = hit | F.contains(c, F.lit(word))
-    return hit
-
-
 def flag(cond: Column) -> Column:
     """A condition with null meaning false."""
     return F.coalesce(cond, F.lit(False))

@@ -287,7 +287,8 @@ def priority_urgency(
     orders = (
         plan.filter(_past_year(F.col("p_end_time"), as_of))
         .groupBy(
-            F.coalesce(key, F.lit("Unassigned")).alias("p_num"), "customer", "product_id",
+            # only a missing number is relabelled; a blank one keeps its label, but matches nothing
+            F.coalesce(key, "p_num", F.lit("Unassigned")).alias("p_num"), "customer", "product_id",
             F.col("product_name").alias("product"), F.col("p_end_time").alias("delivery_date"),
         )
         .agg(

@@ -226,7 +226,11 @@ def _field_or_zero(rows: str, name: str) -> Column:
 def sarima_forecast(
     series: DataFrame, keys: Sequence[str], horizon: int, target: str = "total_sales"
 ) -> DataFrame:
-    """Forecast of the next ``horizon`` days per key."""
+    """Forecast of the next ``horizon`` days per key.
+
+    A series too short for the model stays as one row without date and
+    prediction, with the reason.
+    """
     keys = list(keys)
     model, rows = sarima_fit(series, keys, target)
     recent = Window.partitionBy(*keys).orderBy(F.desc(DATE))
@@ -235,7 +239,8 @@ def sarima_forecast(
     tail = tail.groupBy(*keys).agg(
         F.max(DATE).alias("last"), F.sort_array(F.collect_list(F.struct("back", "y", "w", "e"))).alias("tail")
     )
-    state = tail.join(model.select(*keys, "coef"), keys).select(
+    every = series.select(*keys).distinct()
+    state = every.join(tail, keys, "left").join(model.select(*keys, "coef"), keys, "left").select(
         *keys, "last", "coef",
         *[_field_or_zero("tail", c).alias(c) for c in ("y", "w", "e")],
     )
@@ -248,6 +253,9 @@ def sarima_forecast(
         for batch in batches:
             paths = []
             for coef, y, w, e in zip(batch["coef"], batch["y"], batch["w"], batch["e"], strict=True):
+                if coef is None or y is None or len(y) <= SEASON:
+                    paths.append(None)
+                    continue
                 y, w, e = list(y), list(w), list(e)  # most recent first
                 path = []
                 for _ in range(horizon):
@@ -260,8 +268,9 @@ def sarima_forecast(
             yield batch[[*keys, "last"]].assign(path=paths)
 
     paths = state.mapInPandas(extend, schema)
-    steps = paths.select(*keys, "last", F.posexplode("path").alias("step", "prediction"))
-    return steps.select(*keys, F.date_add("last", F.col("step") + 1).alias(DATE), "prediction")
+    reason = F.when(F.col("path").isNull(), "series too short").alias("reason")
+    steps = paths.select(*keys, "last", reason, F.posexplode_outer("path").alias("step", "prediction"))
+    return steps.select(*keys, F.date_add("last", F.col("step") + 1).alias(DATE), "prediction", "reason")
 
 
 # -- stationarity ------------------------------------------------------------
@@ -317,13 +326,19 @@ def adf_statistic(
             out = []
             for _, row in batch.iterrows():
                 m, n = _moments(row, names), row["one_one"]
+                n = 0 if n is None or n != n else n
                 best = None
                 for k in range(2, max_lag + 3):
+                    if not n > k:  # too few rows for so many lags
+                        break
                     coef, spread = _solve(m[:k, :k], m[:k, -1])
                     sse = max(float(m[-1, -1] - coef @ m[:k, -1]), 1e-300)
                     aic = n * math.log(sse / n) + 2 * k
-                    if best is None or aic < best[0]:
+                    if spread[1] > 0 and (best is None or aic < best[0]):
                         best = (aic, k - 2, coef[1] / math.sqrt(spread[1] * sse / (n - k)))
+                if best is None:
+                    out.append([*[row[k] for k in keys], int(n), None, None, None, *[None] * len(ADF_CRITICAL)])
+                    continue
                 crit = [sum(b / n**i for i, b in enumerate(bs)) for bs in ADF_CRITICAL.values()]
                 out.append([*[row[k] for k in keys], int(n), best[1], best[2], adf_p_value(best[2]), *crit])
             yield pd.DataFrame(out, columns=schema.names)
@@ -346,12 +361,17 @@ def align(actual: DataFrame, predicted: DataFrame, keys: Sequence[str], target:
     return both.dropna(subset=["actual", "prediction"])
 
 
-def error_metrics(aligned: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Row count, mean squared and mean absolute error; no overlap at all is an error."""
+def error_metrics(aligned: DataFrame, keys: Sequence[str] = (), expected: DataFrame | None = None) -> DataFrame:
+    """Row count, mean squared and mean absolute error; no overlap at all is an error.
+
+    ``expected`` holds the keys that have to overlap; one of them without any row is an error too.
+    """
     gap = F.col("actual") - F.col("prediction")
     out = aligned.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_rows"), F.avg(gap * gap).alias("mse"), F.avg(F.abs(gap)).alias("mae")
     )
+    if keys and expected is not None:
+        out = expected.select(*keys).distinct().join(out, list(keys), "left").fillna(0, ["n_rows"])
     empty = F.raise_error(F.lit("no overlapping data to evaluate"))
     return out.withColumn("n_rows", F.when(F.col("n_rows") > 0, F.col("n_rows")).otherwise(empty.cast("bigint")))
 

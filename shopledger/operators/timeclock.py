@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.clock import (
-    at_midnight, at_time, hours_between, parse_datetime, round_end, round_start,
+    at_midnight, at_time, hours_between, round_end, round_start,
 )
 from shopledger.functions.text import flag, full_name, name_parts
 from shopledger.operators.ordered import mark_runs, neighbours
@@ -55,16 +55,6 @@ def nonzero_hours(timesheet: DataFrame) -> DataFrame:
     return timesheet.filter(F.col("working_hours").isNotNull() & (F.col("working_hours") != 0))
 
 
-def parse_timesheet(raw: DataFrame, day_first: bool = True) -> DataFrame:
-    """Date and time texts (start_date, start_time, end_date, end_time) to timestamps."""
-    return raw.withColumns(
-        {
-            "start_ts": parse_datetime("start_date", "start_time", day_first),
-            "end_ts": parse_datetime("end_date", "end_time", day_first),
-        }
-    ).drop("start_date", "start_time", "end_date", "end_time")
-
-
 # -- vacations ---------------------------------------------------------------
 
 

@@ -27,6 +27,11 @@ _P_NUM = (
     "CASE WHEN l_linenumber=6 THEN NULL WHEN l_linenumber=7 AND l_partkey%97=0 THEN '  ' "
     "ELSE concat('P', CAST(l_orderkey AS STRING)) END"
 )
+# An operator books a hundred orders in a row.
+_OPERATOR = (
+    "concat('EE', CASE WHEN floor(l_orderkey/100)<1000 THEN lpad(CAST(CAST(floor(l_orderkey/100) AS BIGINT) AS STRING),3,'0') "
+    "ELSE CAST(CAST(floor(l_orderkey/100) AS BIGINT) AS STRING) END)"
+)
 _FULL = (
     "FROM {lineitem} JOIN {orders} ON l_orderkey=o_orderkey JOIN {customer} ON o_custkey=c_custkey "
     "JOIN {part} ON l_partkey=p_partkey"
@@ -50,8 +55,7 @@ SQL: dict[str, tuple[list[str], str]] = {
     ),
     "plan": (
         ["lineitem", "orders", "customer", "part"],
-        f"""SELECT CASE WHEN l_linenumber=6 THEN NULL ELSE concat('P', CAST(l_orderkey AS STRING)) END AS p_num,
-            p_type AS js_name, p_brand AS dev_name, CAST(l_quantity AS INT)*7 AS f_time,
+        f"""SELECT {_P_NUM} AS p_num, p_type AS js_name, p_brand AS dev_name, CAST(l_quantity AS INT)*7 AS f_time,
             CAST(l_quantity AS INT) AS p_count,
             CASE WHEN o_orderstatus='F' THEN CASE WHEN l_linenumber%2=0 THEN 'Completed' ELSE '已完成' END
                  WHEN o_orderstatus='O' THEN 'Producing'
@@ -113,22 +117,21 @@ SQL: dict[str, tuple[list[str], str]] = {
     ),
     "operator_output": (
         ["lineitem", "part"],
-        """SELECT concat('ERP', CAST(l_orderkey%100 AS STRING)) AS erp_num, p_name AS product,
-            concat(CAST(p_partkey%50 AS STRING), '|x') AS main_product_code, p_type AS makeup_style,
+        f"""SELECT concat('ERP', CAST(l_orderkey AS STRING)) AS erp_num, p_name AS product,
+            concat(CAST(p_partkey AS STRING), '|x') AS main_product_code, p_type AS makeup_style,
             CASE l_suppkey%5 WHEN 0 THEN 'Die Cutting' WHEN 1 THEN 'Gluing' WHEN 2 THEN 'WindowPatching'
                  ELSE 'Printing' END AS process,
             CASE WHEN l_suppkey%5=3 THEN 'SP1-HD102CX' WHEN l_suppkey%10=4 THEN 'CP1-HD104CX'
                  ELSE p_brand END AS device_name,
             CASE WHEN p_size%10=0 THEN NULL ELSE concat('D', CAST(p_size AS STRING)) END AS die_number,
-            DATE '2024-01-01' + CAST(floor(l_orderkey/150) AS INT)%30 AS shift_date,
-            concat('EE', lpad(CAST(l_orderkey%150 AS STRING),3,'0')) AS member_id, l_quantity*1000 AS output_qty
-            FROM {lineitem} JOIN {part} ON l_partkey=p_partkey""",
+            DATE '2024-01-01' + CAST(l_orderkey%30 AS INT) AS shift_date,
+            {_OPERATOR} AS member_id, l_quantity*1000 AS output_qty
+            FROM {{lineitem}} JOIN {{part}} ON l_partkey=p_partkey""",
     ),
     "die_price": (
-        ["part", "supplier"],
-        """SELECT concat('ERP', CAST(2*s_suppkey AS STRING), ',ERP', CAST(2*s_suppkey+1 AS STRING)) AS erp_num,
-            CAST(p_partkey AS STRING) AS product_id, CAST(0.5 + p_partkey%4 AS DOUBLE) AS price
-            FROM {part} CROSS JOIN {supplier} WHERE p_partkey<50 AND s_suppkey<50""",
+        ["lineitem"],
+        """SELECT DISTINCT concat('ERP', CAST(l_orderkey AS STRING), ',ERP', CAST(l_orderkey+1 AS STRING)) AS erp_num,
+            CAST(l_partkey AS STRING) AS product_id, CAST(0.5 + l_partkey%4 AS DOUBLE) AS price FROM {lineitem}""",
     ),
     "bonus_rate": (
         ["events"],
@@ -140,9 +143,9 @@ SQL: dict[str, tuple[list[str], str]] = {
     ),
     "sheeting": (
         ["lineitem"],
-        """SELECT concat('EE', lpad(CAST(l_orderkey%150 AS STRING),3,'0')) AS employee_number,
-            CAST(DATE '2024-01-01' + CAST(floor(l_orderkey/150) AS INT)%30 AS {naive}) + INTERVAL '8' HOUR AS start_time,
-            CAST(l_quantity*2000 AS INT) AS paper_sheets FROM {lineitem} WHERE l_linenumber=1""",
+        f"""SELECT {_OPERATOR} AS employee_number,
+            CAST(DATE '2024-01-01' + CAST(l_orderkey%30 AS INT) AS {{naive}}) + INTERVAL '8' HOUR AS start_time,
+            CAST(l_quantity*2000 AS INT) AS paper_sheets FROM {{lineitem}}""",
     ),
 }
 BASE_TABLES = ["lineitem", "orders", "customer", "part", "supplier", "events"]
@@ -189,6 +192,7 @@ class Inputs:
     operator_output = cached_property(lambda self: self._sql("operator_output"))
     bonus_rate = cached_property(lambda self: self._sql("bonus_rate"))
     sheeting = cached_property(lambda self: self._sql("sheeting"))
+    die_price = cached_property(lambda self: self._sql("die_price"))
 
     @cached_property
     def sessions(self) -> DataFrame:
@@ -205,8 +209,10 @@ class Inputs:
 
     @cached_property
     def timesheet(self) -> DataFrame:
-        """One row per session, or two where it crosses midnight."""
+        """One row per session, or two where it crosses midnight; stored, as ordered operators read it twice."""
+        return self.stored("timesheet", self._timesheet)
 
+    def _timesheet(self) -> DataFrame:
         def half(start, end):
             return F.struct(start.cast("timestamp_ntz").alias("start_ts"), end.cast("timestamp_ntz").alias("end_ts"))
 
@@ -249,16 +255,3 @@ class Inputs:
             "users",
             F.when(F.dayofmonth("sched_date") % 10 == 0, "Unavailable").alias("availability_status"),
         )
-
-    @cached_property
-    def die_price(self) -> DataFrame:
-        """Price of each (order list, product), for the suppliers and products numbered below 50."""
-        part = self.table("part").filter(F.col("p_partkey") < 50).select("p_partkey")
-        supplier = self.table("supplier").filter(F.col("s_suppkey") < 50).select("s_suppkey")
-        grid = part.withColumn("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(49)).cast("array<bigint>")))
-        k = F.col("s_suppkey")
-        return grid.join(supplier, "s_suppkey").select(
-            F.concat(F.lit("ERP"), (2 * k).cast("string"), F.lit(",ERP"), (2 * k + 1).cast("string")).alias("erp_num"),
-            F.col("p_partkey").cast("string").alias("product_id"),
-            (0.5 + F.col("p_partkey") % 4).cast("double").alias("price"),
-        )

@@ -181,11 +181,17 @@ def run_forecast(
         ahead = forecast.future_dates(series, months, keys=series.select("sales").distinct())
         scored = forecast.score_ols(series.filter(after).select("sales", day), model, ["sales"])
         tables[f"{name}_forecast"] = forecast.score_ols(ahead.select("sales", day), model, ["sales"])
-        tables[f"{name}_errors"] = forecast.error_metrics(forecast.align(series, scored, ["sales"]), ["sales"])
+        tables[f"{name}_errors"] = forecast.error_metrics(forecast.align(series, scored, ["sales"]), ["sales"], scored)
+        days = series.filter(after).agg(F.datediff(F.max(day), F.lit(split))).first()[0]
         measures = ["total_sales"] if name == "total" else sales.MEASURES
         for m in measures:
-            seasonal = forecast.sarima_forecast(series.filter(before), ["sales"], horizon, m)
+            # as far as the test part goes, to be compared with it
+            seasonal = store(forecast.sarima_forecast(series.filter(before), ["sales"], max(horizon, (days or 0) + 1), m), m)
             tables[f"{name}_seasonal_{m}"] = seasonal
+            fitted = seasonal.filter("reason is null")
+            tables[f"{name}_seasonal_{m}_errors"] = forecast.error_metrics(
+                forecast.align(series.filter(after), fitted, ["sales"], m), ["sales"], fitted
+            )
             tables[f"{name}_stationarity_{m}"] = forecast.adf_statistic(series.filter(before), ["sales"], m)
     fs.write_reports(tables, out)
     return tables

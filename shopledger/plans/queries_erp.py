@@ -33,7 +33,7 @@ QUERIES = {
 
 _PRIORITY = f"""
 orders_open AS (
-  SELECT coalesce(p.k,'Unassigned') AS p_num, p.customer, p.product_id, p.product_name AS product,
+  SELECT coalesce(p.k,p.p_num,'Unassigned') AS p_num, p.customer, p.product_id, p.product_name AS product,
     p.p_end_time AS delivery_date, count(DISTINCT p.product_id) AS product_count,
     CAST(sum(p.p_count) AS BIGINT) AS total_order_qty, max(p.status_des) AS work_order_status,
     max(s.out_date) AS shipped_date

@@ -15,7 +15,7 @@ from shopledger.operators import timeclock as tc
 from shopledger.plans import queries_bonus as qb
 from shopledger.plans.adapters import Inputs, ctes
 from shopledger.plans.queries_clock import rounded
-from shopledger.session import new_folder
+from shopledger.session import new_folder, store
 from shopledger.sources import files as fs
 
 DEPARTMENTS = ["Business", "Temp", "Production", "Warehouse"]
@@ -74,7 +74,7 @@ def _with_first_row(i: Inputs) -> DataFrame:
 def drop_timesheets(i: Inputs) -> str:
     """Write one time-sheet file per department, names only on the first row of each employee."""
     folder = new_folder(i.spark, "drop")
-    rows = _with_first_row(i)
+    rows = store(_with_first_row(i), "rows")
     blanked = {c: F.when(F.col("is_first"), F.col(c)) for c in ("employee_number", "first_name", "last_name")}
     for department in DEPARTMENTS:
         part = rows.filter(F.col("department") == department).orderBy(*ROW_ORDER).select(
@@ -84,6 +84,8 @@ def drop_timesheets(i: Inputs) -> str:
             F.date_format("end_ts", "HH:mm").alias("end_time"),
             *[e.alias(c) for c, e in blanked.items()], "job", F.lit(None).cast("string").alias("employee_notes"),
         )
+        if department == "Temp":  # another order of the columns, and one more
+            part = part.withColumn("Badge", F.lit("b")).select("first_name", "last_name", "employee_number", "Badge", *part.drop(*blanked).columns)
         layout = schemas.TIMESHEET_TEMP if department == "Temp" else schemas.TIMESHEET
         fs.write_csv(part, f"{folder}/{department} Timesheet.csv", layout)
     return folder

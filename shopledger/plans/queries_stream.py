@@ -21,7 +21,7 @@ def events(i: Inputs) -> DataFrame:
 
 def stream_intake(i: Inputs) -> DataFrame:
     out, progress = new_folder(i.spark, "intake"), new_folder(i.spark, "progress")
-    jobs.intake(events(i).drop("props"), "event_id", "ts", "1 hour", out, progress)
+    jobs.intake(events(i), "event_id", "ts", "1 hour", out, progress)
     return i.spark.read.parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
@@ -52,7 +52,7 @@ _MONITOR = """stats AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_sta
   round(avg(value), 4) AS mean_value FROM events GROUP BY 1,2,3)"""
 
 ORACLES = {
-    "stream_intake": "SELECT DISTINCT event_id, ts, user_id, event_type, value FROM events",
+    "stream_intake": "SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events",
     "stream_monitor": f"WITH {_MONITOR} SELECT * FROM stats",
     "stream_alerts": f"WITH {_MONITOR} SELECT * FROM stats WHERE mean_value>100",
     "inventory_balance": f"""WITH {ctes('shipments')} SELECT s.product_id, s.out_date, s.dgn_bil_num, s.out_count,

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # Header labels of the source files.
 TIMESHEET = {
     "Start Date": "start_date", "Start time": "start_time", "End Date": "end_date", "End time": "end_time",
@@ -12,6 +10,8 @@ TIMESHEET = {
 }
 # Temporary staff are listed by team instead of by number, in the same place.
 TIMESHEET_TEMP = {("Team" if k == "Employee Number" else k): v for k, v in TIMESHEET.items()}
+# Labels that may stand for another one: temporary staff have a team for a number.
+OTHER_LABELS = {"Team": "Employee Number"}
 SCHEDULE = {
     "Date": "sched_date", "Start": "sched_start", "End": "sched_end", "Users": "users",
     "Availability status": "availability_status",
@@ -44,10 +44,3 @@ SALES = {
     "ProductID": "product_id", "OutCountTotal": "out_count_total", "TotalSales": "total_sales",
     "TotalSales_LocalPrice": "total_sales_local_price",
 }
-COMPANY = {"Company Name": "company_name", "Industry": "industry"}
-
-
-def text_schema(layout: dict[str, str]) -> T.StructType:
-    """Every column as text, under the file's own labels."""
-    return T.StructType([T.StructField(label, T.StringType()) for label in layout])
-

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,54 +57,74 @@ def route_files(spark: SparkSession, folder: str) -> DataFrame:
     return named.withColumn("role", role_of(F.col("file_name"))).filter(F.col("role").isNotNull())
 
 
+def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
+    """Those of the paths and patterns that name something."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def there(path: str) -> bool:
+        where = hadoop.Path(path)
+        return bool(where.getFileSystem(conf).globStatus(where))
+
+    return [p for p in paths if there(p)]
+
+
+#: Columns a source file may have at most.
+WIDTH = 64
+
+
 def safe_read(
     spark: SparkSession, paths: str | Iterable[str], layout: dict[str, str], columns: Iterable[str] | None = None,
     skip_rows: int = 0,
 ) -> DataFrame:
-    """Text files of a layout, missing or corrupt ones giving no rows.
+    """Text files of a layout, missing or corrupt ones giving no rows; any number of paths is one scan.
 
+    Columns are found by each file's own header, wherever they stand; other
+    columns are left out, and a file without one of those wanted is an error.
     ``skip_rows`` lines at the top of each file come before the header.  Adds
     file_path, file_block and row_id, which give the order within a file.
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    schema = schemas.text_schema(layout)
-    reader = (
-        spark.read.schema(schema)
+    paths = existing(spark, [paths] if isinstance(paths, str) else list(paths))
+    columns = list(columns) if columns is not None else list(layout.values())
+    place = {"file_path": "string", "file_block": "bigint", "row_id": "bigint"}
+    if not paths:
+        fields = [T.StructField(c, T.StringType()) for c in columns]
+        fields += [T.StructField(c, T.StringType() if t == "string" else T.LongType()) for c, t in place.items()]
+        return spark.createDataFrame([], T.StructType(fields))
+    cells = [f"c{k}" for k in range(WIDTH)]
+    rows = (
+        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in cells]))
         .option("mode", "PERMISSIVE")
-        .option("header", skip_rows == 0)
         .option("ignoreCorruptFiles", True)
         .option("ignoreMissingFiles", True)
         .option("recursiveFileLookup", True)
-    )
-    columns = list(columns) if columns is not None else list(layout.values())
-    place = {"file_path": "string", "file_block": "bigint", "row_id": "bigint"}
-    found = None
-    for path in paths:
-        try:
-            df = reader.csv(path)
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        df = df.select(
-            *[F.col(f"`{label}`").alias(name) for label, name in layout.items()],
+        .csv(paths)
+        .select(
+            F.array(*cells).alias("cells"),
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("file_block"),
             F.monotonically_increasing_id().alias("row_id"),
         )
-        if skip_rows:
-            # Only rows of a file's first block can be top lines; they are few.
-            first = df.filter("file_block = 0").groupBy("file_path").agg(F.min("row_id").alias("first_row"))
-            df = df.join(first, "file_path", "left").filter(
-                (F.col("file_block") > 0) | (F.col("row_id") > F.col("first_row") + skip_rows)
-            ).drop("first_row")
-        df = df.select(*columns, *place)
-        found = df if found is None else found.unionByName(df)
-    if found is not None:
-        return found
-    fields = [T.StructField(c, T.StringType()) for c in columns]
-    fields += [T.StructField(c, T.StringType() if t == "string" else T.LongType()) for c, t in place.items()]
-    return spark.createDataFrame([], T.StructType(fields))
+    )
+    # The header is the first line of a file behind the skipped ones: one short row per file.
+    top = F.slice(F.sort_array(F.collect_list(F.struct("row_id", "cells"))), skip_rows + 1, 1)
+    first = rows.filter("file_block = 0").groupBy("file_path").agg(F.min("row_id").alias("top_row"))
+    headers = (
+        rows.join(first, "file_path").filter((F.col("file_block") == 0) & (F.col("row_id") <= F.col("top_row") + skip_rows))
+        .groupBy("file_path").agg(top.alias("top")).select("file_path", F.inline("top").alias("header_row", "labels"))
+        .select("file_path", "header_row", F.transform("labels", lambda c: F.trim(F.ltrim(c, F.lit("\ufeff")))).alias("labels"))
+    )
+    body = rows.join(headers, "file_path").filter((F.col("file_block") > 0) | (F.col("row_id") > F.col("header_row")))
+    wanted = {name: label for label, name in layout.items() if name in columns}
+    return body.select(*[_cell(wanted[name]).alias(name) for name in columns], *place)
+
+
+def _cell(label: str) -> Column:
+    """The cell under a label or its other name; a file without it is an error."""
+    names = [label, *[other for other, known in schemas.OTHER_LABELS.items() if known == label]]
+    at = F.greatest(*[F.array_position("labels", n) for n in names], F.lit(0))
+    missing = F.raise_error(F.concat(F.lit(f"no column '{label}' in "), F.col("file_path"))).cast("string")
+    return F.when(at > 0, F.get("cells", (at - 1).cast("int"))).otherwise(missing)
 
 
 PLACE = ["file_path", "file_block", "row_id"]
@@ -126,8 +145,10 @@ def load_timesheets(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
     number, so both kinds are one scan.
     """
     raw = safe_read(spark, paths, schemas.TIMESHEET).withColumn("file_name", drop_name(F.col("file_path")))
+    # Files of one name in two folders are two files; the part files of one are one.
+    raw = raw.withColumn("dropped", F.regexp_replace("file_path", "/part-[^/]*$", ""))
     filled = forward_fill(
-        raw, ["file_name"], PLACE, [F.col("file_path"), F.col("file_block")],
+        raw, ["dropped"], PLACE, [F.col("file_path"), F.col("file_block")],
         ["employee_number", "first_name", "last_name"],
     )
     kept = drop_all_null(filled, ["start_date", "start_time", "end_date", "end_time"])
@@ -139,7 +160,7 @@ def load_timesheets(spark: SparkSession, paths: str | Iterable[str]) -> DataFram
             "start_ts": parse_datetime("start_date", "start_time"),
             "end_ts": parse_datetime("end_date", "end_time"),
         }
-    ).drop(*PLACE, "file_name", "start_date", "start_time", "end_date", "end_time")
+    ).drop(*PLACE, "file_name", "dropped", "start_date", "start_time", "end_date", "end_time")
 
 
 def schedule_filter(schedule: DataFrame) -> DataFrame:
@@ -180,13 +201,12 @@ def load_payrates(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_sales(spark: SparkSession, path: str) -> DataFrame:
-    """The sales summary, typed by an explicit schema."""
-    schema = (
-        "OutDate TIMESTAMP_NTZ, Sales STRING, Customer STRING, Product STRING, ProductID BIGINT, "
-        "OutCountTotal DOUBLE, TotalSales DOUBLE, TotalSales_LocalPrice DOUBLE"
+    """The sales summary, by header name and typed."""
+    raw = safe_read(spark, path, schemas.SALES).drop(*PLACE)
+    types = {"out_date": "timestamp_ntz", "product_id": "bigint"} | dict.fromkeys(
+        ("out_count_total", "total_sales", "total_sales_local_price"), "double"
     )
-    df = spark.read.schema(schema).option("header", True).csv(path)
-    return df.withColumnsRenamed(schemas.SALES)
+    return raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
 
 
 def write_csv(df: DataFrame, path: str, layout: dict[str, str] | None = None) -> str:

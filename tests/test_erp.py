@@ -92,7 +92,7 @@ def test_counted_joins_equal_row_joins(tables, policy):
           count(*) FILTER (p.status_des='Pause') AS paused_count, count(*) FILTER (p.status_des='Waitting') AS waiting_count
         FROM {keyed['plan']} p JOIN {keyed['demand']} d ON p.k=d.k WHERE d.delivery_date {YEAR} GROUP BY 1,2""")
     same(erp.priority_urgency(f["plan"], f["shipments"], NOW, policy), con, f"""
-        WITH o AS (SELECT coalesce(p.k,'Unassigned') AS p_num, p.customer, p.product_id, p.product_name AS product,
+        WITH o AS (SELECT coalesce(p.k,p.p_num,'Unassigned') AS p_num, p.customer, p.product_id, p.product_name AS product,
             p.p_end_time AS delivery_date, count(DISTINCT p.product_id) AS product_count,
             sum(p.p_count)::BIGINT AS total_order_qty, max(p.status_des) AS work_order_status, max(s.out_date) AS shipped_date
           FROM {keyed['plan']} p LEFT JOIN {keyed['shipments']} s ON p.k=s.k WHERE p.p_end_time {YEAR} GROUP BY 1,2,3,4,5)

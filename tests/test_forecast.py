@@ -110,3 +110,23 @@ def test_quality(spark):
     )
     row = fc.forecast_quality(p, ["sales"]).first()
     assert (row.n_dates, row.duplicate_dates, row.missing_predictions) == (2, 1, 1)
+
+
+def test_short_series_are_reported(spark):
+    rng = np.random.default_rng(2)
+    df = frame(spark, {"long": rng.normal(size=400).cumsum(), "short": np.arange(10.0), "mid": np.arange(20.0)})
+    rows = fc.sarima_forecast(df, ["sales"], 5).collect()
+    by_key = {k: [r for r in rows if r.sales == k] for k in ("long", "short", "mid")}
+    assert len(by_key["long"]) == 5 and all(r.reason is None for r in by_key["long"])
+    assert [(r.out_date, r.prediction, r.reason) for r in by_key["short"]] == [(None, None, "series too short")]
+    stats = {r.sales: r for r in fc.adf_statistic(df, ["sales"]).collect()}
+    assert stats["long"].statistic is not None and stats.get("short") is None or stats["short"].statistic is None
+
+
+def test_a_key_without_overlap_is_an_error(spark):
+    a = frame(spark, {"x": np.arange(5.0), "y": np.arange(5.0)})
+    predicted = a.filter("sales = 'x'").withColumnRenamed("total_sales", "prediction")
+    aligned = fc.align(a, predicted, ["sales"])
+    assert fc.error_metrics(aligned, ["sales"], predicted).count() == 1
+    with pytest.raises(Exception, match="no overlapping data"):
+        fc.error_metrics(aligned, ["sales"], a).collect()
