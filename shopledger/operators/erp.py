@@ -15,11 +15,12 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.clock import naive
 from shopledger.functions.text import is_blank
+from shopledger.operators.ordered import neighbours
 
 # The status words of the plan table.
 STATUS = {
@@ -198,7 +199,7 @@ def late_orders_impact(
         order_key(F.col("p_num"), policy).alias("order_key"), F.col("out_date").alias("at"),
         F.lit(1).alias("sent"), F.lit(0).alias("asked"),
     )
-    asked = keyed.select(
+    asked = lines.select(
         "order_key", F.col("delivery_date").alias("at"), F.lit(0).alias("sent"), F.lit(1).alias("asked")
     )
     # One row per distinct (order, date) of either table: the windows see dates, not shipments.
@@ -208,17 +209,13 @@ def late_orders_impact(
         .groupBy("order_key", "at")
         .agg(F.sum("sent").alias("sent"), F.max("asked").alias("asked"))
     )
-    order = Window.partitionBy("order_key")
-    upto = order.orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    counts = (
-        dates.withColumns(
-            {
-                "n_all": F.sum("sent").over(order),
-                "n_on_time": F.sum(F.when(F.col("at").isNotNull(), F.col("sent")).otherwise(0)).over(upto),
-            }
-        )
-        .filter(F.col("asked") == 1)
-        .select("order_key", F.col("at").alias("delivery_date"), "n_all", "n_on_time")
+    # An order with times instead of dates has many rows here: they are counted by day.
+    on_time = neighbours(
+        dates.filter(F.col("at").isNotNull()), ["order_key"], ["at"], F.to_date("at"), running={"n_on_time": F.col("sent")}
+    )
+    sent = dates.groupBy("order_key").agg(F.sum("sent").alias("n_all"))
+    counts = on_time.filter(F.col("asked") == 1).join(sent, "order_key").select(
+        "order_key", F.col("at").alias("delivery_date"), "n_all", "n_on_time"
     )
     n_all = F.coalesce("n_all", F.lit(0))
     late = F.when(F.col("delivery_date") < naive(as_of),

@@ -12,15 +12,18 @@ BILL_RANGE = 1_000_000
 def inventory_balance(opening: DataFrame, shipments: DataFrame) -> DataFrame:
     """Stock of a product after each of its shipments, in order of date and bill.
 
-    The running sum is cut at dates and ranges of bill numbers, so a product
-    with very many shipments, even of one date, is summed by many tasks.
+    The running sum is cut at hours and, for shipments on the hour (dates have
+    no time), at ranges of bill numbers, so a product with very many shipments,
+    even of one date, is summed by many tasks.
     """
+    hour = F.date_trunc("hour", "out_date").cast("timestamp_ntz")
+    later = F.col("out_date").cast("timestamp_ntz") > hour
     moves = shipments.filter(F.col("product_id").isNotNull() & F.col("out_date").isNotNull()).select(
         "product_id", "out_date", "dgn_bil_num", "out_count"
     )
     shipped = neighbours(
         moves, ["product_id"], ["out_date", "dgn_bil_num"],
-        [F.col("out_date"), F.floor(F.col("dgn_bil_num") / BILL_RANGE)],
+        [hour, later, F.when(later, 0).otherwise(F.floor(F.col("dgn_bil_num") / BILL_RANGE))],
         running={"shipped": F.coalesce("out_count", F.lit(0))},
     )
     stock = opening.select("product_id", "opening_qty")

@@ -106,21 +106,20 @@ def _merge_runs(hours: DataFrame, keys: Sequence[str], continues) -> DataFrame:
     keyless = F.lit(False)
     for k in keys:
         keyless = keyless | F.col(k).isNull()
+    # Rows without a full key stand alone; they never meet in a window.
     runs = mark_runs(
-        hours.withColumn("__keyless", keyless), keys, ORDER, F.to_date("start_ts"),
-        ["start_ts", "end_ts", "adj_start", "adj_end", "__keyless"],
-        lambda prev, cur: ~flag(continues(prev, cur)) | cur("__keyless"),
+        hours.filter(~keyless), keys, ORDER, F.to_date("start_ts"), ["start_ts", "end_ts", "adj_start", "adj_end"],
+        lambda prev, cur: ~flag(continues(prev, cur)),
     )
-    # Rows without a full key stand alone; their run numbers are only unique per day.
-    alone = F.when(F.col("__keyless"), F.to_date("start_ts")).alias("__alone")
     at = F.struct(*ORDER)
     kept = [c for c in hours.columns if c not in (*keys, "end_ts", "adj_end", "working_hours")]
-    merged = runs.groupBy(*keys, alone, "run_no").agg(
+    merged = runs.groupBy(*keys, "run_no").agg(
         F.min_by(F.struct(*kept), at).alias("head"),
         F.max_by(F.struct("end_ts", "adj_end"), at).alias("tail"),
         F.sum("working_hours").alias("working_hours"),
     )
-    return merged.select(*keys, "head.*", "tail.*", "working_hours").select(*hours.columns)
+    merged = merged.select(*keys, "head.*", "tail.*", "working_hours").select(*hours.columns)
+    return merged.unionByName(hours.filter(keyless))
 
 
 def merge_midnight_exact(hours: DataFrame) -> DataFrame:

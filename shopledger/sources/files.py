@@ -209,20 +209,20 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
 
 
-def write_csv(df: DataFrame, path: str, layout: dict[str, str] | None = None) -> str:
+def write_csv(df: DataFrame, path: str, layout: dict[str, str] | None = None, mode: str = "errorifexists") -> str:
     """Write a table as text under the layout's header labels."""
     if layout:
         labels = {name: label for label, name in layout.items()}
         df = df.withColumnsRenamed({c: labels[c] for c in df.columns if c in labels})
-    df.write.option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).csv(path)
     return path
 
 
 def write_reports(tables: dict[str, DataFrame], folder: str, partition_by: dict[str, list[str]] | None = None) -> None:
-    """Write each table as a dataset ``report=<name>`` below the folder."""
+    """Write each table as a dataset ``report=<name>`` below the folder, in place of one a run before has left there."""
     for name, df in tables.items():
         keys = (partition_by or {}).get(name, [])
         # Rows of a partition value meet in a few tasks, a hot value in several.
         if keys:
             df = df.repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(4)))
-        df.write.partitionBy(*keys).parquet(f"{folder}/report={name}")
+        df.write.mode("overwrite").partitionBy(*keys).parquet(f"{folder}/report={name}")
