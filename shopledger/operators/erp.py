@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from shopledger.functions.clock import naive
 from shopledger.functions.text import is_blank
 from shopledger.operators.ordered import neighbours
+from shopledger.session import store
 
 # The status words of the plan table.
 STATUS = {
@@ -187,7 +188,8 @@ def late_orders_impact(
     A demand row is late once per partner shipment that left after the due date or
     has no date, and once if there is no shipment.  How many shipments of an
     order left after a given due date is read off a running count over the
-    order's distinct dates.
+    order's distinct dates. The lines and the dates per order, which are read
+    more than once, are written to the shared folder.
     """
     keyed = demand.filter(_past_year(F.col("delivery_date"), as_of)).withColumn(
         "order_key", order_key(F.col("p_num"), policy)
@@ -195,6 +197,7 @@ def late_orders_impact(
     lines = keyed.groupBy("order_key", "customer", "product", "delivery_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("order_count").cast("long")).alias("qty")
     )
+    lines = store(lines, "order-lines")
     left = shipments.select(
         order_key(F.col("p_num"), policy).alias("order_key"), F.col("out_date").alias("at"),
         F.lit(1).alias("sent"), F.lit(0).alias("asked"),
@@ -209,6 +212,7 @@ def late_orders_impact(
         .groupBy("order_key", "at")
         .agg(F.sum("sent").alias("sent"), F.max("asked").alias("asked"))
     )
+    dates = store(dates, "order-dates")
     # An order with times instead of dates has many rows here: they are counted by day.
     on_time = neighbours(
         dates.filter(F.col("at").isNotNull()), ["order_key"], ["at"], F.to_date("at"), running={"n_on_time": F.col("sent")}

@@ -128,7 +128,10 @@ def route_files(i: Inputs) -> DataFrame:
     fs.write_csv(i.die_price, f"{folder}/Die Price.csv", schemas.DIE_PRICE)
     fs.write_csv(i.holidays, f"{folder}/notes.csv")
     files = fs.route_files(i.spark, folder)
-    return files.groupBy("role", "file_name").agg(F.count(F.lit(1)).alias("n_parts")).select("role", "file_name")
+    # The rows of each routed file, read back: its lines without the header of each part.
+    lines = i.spark.read.option("recursiveFileLookup", True).text(folder).groupBy(F.col("_metadata.file_path").alias("path"))
+    counted = files.join(lines.agg((F.count(F.lit(1)) - 1).alias("n")), "path")
+    return counted.groupBy("role", "file_name").agg(F.sum("n").alias("n_rows"))
 
 
 def production_report(i: Inputs) -> DataFrame:
@@ -260,8 +263,10 @@ _LOADED = """SELECT employee_number, first_name, last_name, department, departme
   end_ts FROM timesheet"""
 
 ORACLES = {
-    "route_files": """SELECT * FROM (VALUES ('bonus_rate', 'Operator Bonus Rate.csv'),
-  ('sheeting', 'SHEETING report.csv'), ('die_price', 'Die Price.csv')) t(role, file_name)""",
+    "route_files": f"""WITH {ctes('bonus_rate', 'sheeting', 'die_price')}
+SELECT 'bonus_rate' AS role, 'Operator Bonus Rate.csv' AS file_name, count(*) AS n_rows FROM bonus_rate
+UNION ALL SELECT 'sheeting', 'SHEETING report.csv', count(*) FROM sheeting
+UNION ALL SELECT 'die_price', 'Die Price.csv', count(*) FROM die_price""",
     "load_union": qb.ORACLES["operator_output_clean"],
     "safe_read": f"""WITH {ctes('bonus_rate')} SELECT employee_number, machine, CAST(silver_rate AS VARCHAR) AS silver_rate
   FROM bonus_rate""",

@@ -1,6 +1,9 @@
 """Registered queries against their SQL on the smallest tables, and the shape of their plans."""
 
+import os
 import re
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -15,7 +18,9 @@ CHECKED = [
     "midnight_merge", "vacation_runs", "vacation_filtered", "schedule_update", "change_log", "output_rollup",
     "other_process_bonus", "sheeting_bonus", "holiday_pay", "payroll_summary", "load_timesheets", "load_schedules",
     "payrate_clean", "sales_dense", "sales_by_dimension", "ols_gram", "forecast_metrics", "inventory_balance",
-    "stream_monitor", "forward_fill",
+    "stream_monitor", "forward_fill", "stream_intake", "route_files", "safe_read", "load_union", "die_price_explode",
+    "revenue_lookup", "sheeting_clean", "silver_rules", "gold_rules", "performance_union", "bonus_report", "total_compensation",
+    "inventory_reconcile", "sales_measures_dense", "forecast_align", "forecast_quality", "customer_analysis", "work_order_status",
 ]
 PLANNED = [
     "priority_urgency", "late_orders_impact", "work_order_status", "machine_utilization", "pending_deliveries",
@@ -54,3 +59,20 @@ def test_plan(spark, tiny, name):
         assert "MapInPandas" not in plan and "FlatMapGroupsInPandas" not in plan
     for columns in re.findall(r"FileScan parquet \[(.*?)\]", plan):
         assert len(columns.split(",")) <= 7  # no scan reads a whole table
+
+
+def test_tasks_find_the_package_from_another_folder(tmp_path):
+    code = (
+        f"import sys; sys.path.insert(0, {os.path.dirname(os.path.abspath(entry.__file__))!r})\n"
+        "from pyspark.sql import SparkSession\nimport __spark_entry__ as e\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "print('rows', e.queries()['ols_by_category'](spark, e.SMOKE_DIR).count())"
+    )
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert "rows 5" in done.stdout
+
+
+def test_payroll_reads_the_time_sheet_once(spark, tiny):
+    for name, most in (("midnight_merge", 3), ("vacation_filtered", 4), ("sales_dense", 1), ("late_orders_impact", 8)):
+        plan = QUERIES[name](spark, tiny)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") <= most, (name, plan.count("FileScan"))
