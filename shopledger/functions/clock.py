@@ -62,9 +62,10 @@ def at_time(ts: ColumnLike, hour: int, minute: int) -> Column:
 def parse_date(text: ColumnLike, day_first: bool = True) -> Column:
     """Date text in either the slash or the ISO form; anything else is null.
 
-    ``day_first`` only decides between the two readings of the slash form.
+    ``day_first`` only decides between the two readings of the slash form.  A
+    time behind the date is left out.
     """
-    text = F.trim(_col(text))
+    text = F.regexp_replace(F.trim(_col(text)), r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "")
     slashed = ["d/M/yyyy"] if day_first else ["M/d/yyyy"]
     forms = [*slashed, "yyyy-M-d"]
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("date") for f in forms])

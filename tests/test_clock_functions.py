@@ -73,3 +73,9 @@ def test_holidays_of_2024(spark):
         "Canada Day": "07-01", "Civic Holiday": "08-05", "Labour Day": "09-02", "Thanksgiving": "10-14",
         "Christmas Day": "12-25", "Boxing Day": "12-26",
     }
+
+
+def test_dates_with_a_time_part(spark):
+    texts = ["2024-01-02 00:00:00", "2/1/2024 08:30", "2024-01-02T07:05:09.5", "2024-01-02", "x 08:30", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "d string")
+    assert [str(r[0]) for r in rows.select(clock.parse_date("d")).collect()] == ["2024-01-02"] * 4 + ["None"] * 2
