@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -93,9 +95,13 @@ def placed(df: DataFrame, file: str, row: str) -> DataFrame:
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``store``, after which the shuffle files of the written plan may go: Spark drops them when the driver's garbage is collected."""
+    """``store``, after which the shuffle files of the written plan may go: Spark drops them when the driver's garbage,
+    Python's handles first, is collected."""
     out = store(df, label)
-    df.sparkSession.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first finds the plans, the second what only they held
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
     return out
 
 

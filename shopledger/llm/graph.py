@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import stored
+from shopledger.session import store
 
 
 
+def digest(links: DataFrame) -> tuple:
+    """Count and two sums of hashes of distinct links: equal tables give equal ones."""
+    hashes = F.xxhash64("a", "b")
+    return tuple(links.agg(F.count("*"), F.bit_xor(hashes), F.sum(hashes.cast("decimal(20,0)"))).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) of every node that has a link in (a, b): root is the smallest node reachable.
 
@@ -16,9 +22,10 @@ def components(links: DataFrame) -> DataFrame:
     stars. Each step is one aggregation and one join; its result is written to the shared folder, so that a step can be
     repeated from there when executors are lost. Null and self links are left out.
     """
-    links = stored(
+    links = store(
         links.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
+    now = digest(links)
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
@@ -29,7 +36,7 @@ def components(links: DataFrame) -> DataFrame:
         small = moved.where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(
             least.select("a", F.col("least").alias("b"))
         ).where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        after = stored(small, "links")
-        if after.exceptAll(links).isEmpty() and links.exceptAll(after).isEmpty():
-            return after.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        links = after
+        links, before = store(small, "links"), now
+        now = digest(links)
+        if now == before:
+            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

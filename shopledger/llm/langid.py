@@ -36,7 +36,7 @@ SALTS = 64
 #: Step size, penalty.
 STEP, L2 = 0.3, 1e-4
 #: Words a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 UNKNOWN = "und"
 _LABELLERS: dict[int, Labeller] = {}
 

@@ -30,9 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopledger.llm.common import by_batch, fresh, slices, table
+from shopledger.llm.common import by_batch, fresh, slices, stored, table
 from shopledger.llm.graph import components
-from shopledger.session import store
 
 #: Similarity as a fraction, sizes below which only equal sets are similar.
 TOP, BOTTOM, SMALL = 4, 5, 4
@@ -40,6 +39,8 @@ TOP, BOTTOM, SMALL = 4, 5, 4
 RARITY_BITS, COMMON = 18, 1 << 15
 #: Words from which a line's signature has 128 bits instead of 64; postings a task packs at once; lines of a block.
 WIDE, PACKED, BLOCK = 64, 1 << 19, 2048
+#: Bytes of text taken at once: their arrays stay in a core's cache.
+SLICE = 1 << 18
 U = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -90,7 +91,7 @@ def rarity(df: DataFrame, text_col: str) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
-            for part in slices(batch, 1 << 20):
+            for part in slices(batch, SLICE):
                 hashes, _, _ = words_of([t for t in part.column(0).to_pylist() if t] or [""])
                 counts += np.bincount((hashes >> U(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
         yield parts_of(counts)
@@ -123,7 +124,14 @@ def line_sets(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.nda
     hashes, line, first = words_of(texts)
     rare = classes[(hashes >> U(64 - RARITY_BITS)).astype(np.int64)].astype(U)
     word = rare << U(52) | hashes & U((1 << 52) - 1)
-    order = np.lexsort((word, line))
+    if len(first) < 1 << 20 and first[-1] < 1 << 20:
+        key = line.astype(U) << U(44) | word >> U(20)
+        order = np.argsort(key)
+        key = key[order]
+        if ((key[1:] == key[:-1]) & (word[order[1:]] != word[order[:-1]])).any():  # words that differ in their last bits only
+            order = np.lexsort((word, line))
+    else:
+        order = np.lexsort((word, line))
     word, line = word[order], line[order]
     new = np.ones(len(word), bool)
     new[1:] = (word[1:] != word[:-1]) | (line[1:] != line[:-1])
@@ -163,9 +171,10 @@ def parity(word: np.ndarray, starts: np.ndarray, sizes: np.ndarray, bits: int) -
     """For each set and bit, whether an odd number of its words have that bit (one column of 64 bits each)."""
     at = mixed(word + U(1))
     out = np.zeros((len(sizes), bits // 64), U)
-    for k in range(bits // 64):
-        own = at % U(bits // 64) == U(k)
-        out[:, k] = np.bitwise_xor.reduceat(np.where(own, U(1) << (at >> U(58)), U(0)), starts) if len(starts) else 0
+    bit = U(1) << (at >> U(58))
+    for k in range(bits // 64 if len(starts) else 0):
+        own = bit if bits == 64 else np.where(at % U(bits // 64) == U(k), bit, U(0))
+        out[:, k] = np.bitwise_xor.reduceat(own, starts)
     return out
 
 
@@ -181,15 +190,19 @@ def described(docs: DataFrame, classes: np.ndarray) -> DataFrame:
         doc = np.searchsorted(first, number, side="right") - 1
         h = mixed(word)
         h1, h2 = np.add.reduceat(h, starts), np.add.reduceat(mixed(h + U(1)), starts)
-        narrow, wide = parity(word, starts, sizes, 64)[:, 0], parity(word, starts, sizes, 128)
-        long = sizes >= WIDE
+        low, high = parity(word, starts, sizes, 64)[:, 0], np.zeros(len(sizes), U)
+        long = np.flatnonzero(sizes >= WIDE)
+        if len(long):
+            ends = np.cumsum(sizes[long])
+            wide = parity(word[ragged(starts[long], sizes[long])], ends - sizes[long], sizes[long], 128)
+            low[long], high[long] = wide[:, 0], wide[:, 1]
         row, key, place = keys_of(word, starts, sizes, common)
         ends = np.searchsorted(row, np.arange(len(sizes) + 1)).astype(np.int32)
         take = pa.array(doc)
         return pa.record_batch(
             [batch.column(0).take(take), batch.column(1).take(take), pa.array((number - first[doc]).astype(np.int32)),
              pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(sizes.astype(np.int32)),
-             pa.array(np.where(long, wide[:, 0], narrow).view(np.int64)), pa.array(np.where(long, wide[:, 1], U(0)).view(np.int64)),
+             pa.array(low.view(np.int64)), pa.array(high.view(np.int64)),
              packed_list(ends, key, 4), packed_list(ends, place, 2)],
             ["id", "hash", "line", "h1", "h2", "size", "low", "high", "keys", "places"],
         )
@@ -199,13 +212,14 @@ def described(docs: DataFrame, classes: np.ndarray) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"id {kind}, hash long, line int, h1 long, h2 long, size int, low long, high long, keys binary, places binary"
-    return by_batch(docs.select("id", "hash", "text"), run, schema, 1 << 20)
+    return by_batch(docs.select("id", "hash", "text"), run, schema, SLICE)
 
 
 def linked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Candidate pairs (as a spanning forest of line numbers) among postings, by the three filters and the signatures."""
     p = p[np.lexsort((p["size"], p["key"]))]
     key, size, place = p["key"], p["size"].astype(np.int64), p["place"].astype(np.int64)
+    narrow = p["low"] ^ p["high"]  # the halves of a long signature make a short one
     rows = np.flatnonzero(key[1:] == key[:-1])
     held: list[tuple[np.ndarray, np.ndarray]] = []
     step = 0
@@ -219,10 +233,11 @@ def linked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         a, b = size[rows], size[other]
         overlap = -(-TOP * (a + b) // (TOP + BOTTOM))
         fits = 1 + np.minimum(a - place[rows], b - place[other]) - 1 >= overlap
-        differ = np.bitwise_count(p["low"][rows] ^ p["low"][other]).astype(np.int64)
+        differ = np.bitwise_count(narrow[rows] ^ narrow[other]).astype(np.int64)
         both = (a >= WIDE) & (b >= WIDE)
-        mixed_ = (a >= WIDE) != (b >= WIDE)  # signatures of two kinds can't be compared
-        differ = np.where(both, differ + np.bitwise_count(p["high"][rows] ^ p["high"][other]), np.where(mixed_, 0, differ))
+        differ = np.where(
+            both, np.bitwise_count(p["low"][rows] ^ p["low"][other]).astype(np.int64) + np.bitwise_count(p["high"][rows] ^ p["high"][other]), differ
+        )
         good = fits & (differ <= a + b - 2 * overlap) & (p["line"][rows] != p["line"][other])
         held.append((p["line"][rows[good]], p["line"][other[good]]))
         if sum(len(a) for a, _ in held) > PACKED:
@@ -341,81 +356,60 @@ def verified(lines: DataFrame) -> DataFrame:
             yield out(held)
 
     def out(held: list[tuple]) -> pa.RecordBatch:
+        held = list(dict(held).items())  # a repeated document gives its sets again
         found = [held[k][0] for k in earlier_matches(held)] if len(held) > 1 else []
         return pa.record_batch([pa.array([h for h, _ in found], pa.int64()), pa.array([h for _, h in found], pa.int64())], ["h1", "h2"])
 
-    spread = lines.repartition("group").sortWithinPartitions("group", F.asc_nulls_first("id"), "hash", "line")
+    spread = lines.select("group", "id", "hash", "line", "h1", "h2", "words").repartition("group").sortWithinPartitions("group", F.asc_nulls_first("id"), "hash", "line")
     return spread.select("group", "h1", "h2", "words").mapInArrow(run, "h1 long, h2 long").distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, classes: np.ndarray) -> DataFrame:
-    """``wanted`` (id, hash, line, root, h1, h2) with the words of each line as bytes."""
-    parts = wanted.groupBy("id", "hash").agg(F.collect_list(F.struct("line", "root", "h1", "h2")).alias("wanted"))
-    texts = docs.join(parts, docs.id.eqNullSafe(parts.id) & (docs.hash == parts.hash)).select(docs.id, docs.hash, "text", "wanted").dropDuplicates(["id", "hash"])
+    """``wanted`` (id, hash, line, root, blocks, h1, h2) with the words of each line as bytes."""
+    parts = wanted.groupBy("id", "hash").agg(F.collect_list(F.struct("line", "root", "blocks", "h1", "h2")).alias("wanted"))
+    texts = docs.join(parts, docs.id.eqNullSafe(parts.id) & (docs.hash == parts.hash)).select(docs.id, docs.hash, "text", "wanted")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids, hashes, texts_, wanted_ = (c.to_pylist() for c in batch.columns)
-        rows = [(i, h, r["line"], r["root"], r["h1"], r["h2"], t.split("\n")[r["line"]]) for i, h, t, w in zip(ids, hashes, texts_, wanted_) for r in w]
+        rows = [(i, h, r["line"], r["root"], r["blocks"], r["h1"], r["h2"], t.split("\n")[r["line"]]) for i, h, t, w in zip(ids, hashes, texts_, wanted_) for r in w]
         word, number, sizes, _ = line_sets([r[-1] for r in rows], classes)
         pieces = [w.tobytes() for w in np.split(word, np.cumsum(sizes)[:-1])]
         columns = list(zip(*rows))[:-1]
-        arrays = [pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])]
-        return pa.record_batch([*arrays, pa.array(pieces, pa.binary())], ["id", "hash", "line", "root", "h1", "h2", "words"])
+        arrays = [pa.array(c, t) for c, t in zip(columns, [batch.schema.field(0).type, pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()])]
+        return pa.record_batch([*arrays, pa.array(pieces, pa.binary())], ["id", "hash", "line", "root", "blocks", "h1", "h2", "words"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return by_batch(texts, run, f"id {kind}, hash long, line int, root long, h1 long, h2 long, words binary", 1 << 20)
+    return by_batch(texts, run, f"id {kind}, hash long, line int, root long, blocks int, h1 long, h2 long, words binary", 1 << 20)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """(id, hash, lines): the numbers of the lines that go, of each document (id, hash, text) that loses any."""
     texts = docs.where(F.length("text") > 0)
     classes = rarity(texts, "text")
-    lines = described(texts, classes)
+    lines = stored(described(texts, classes), "lines")
     at = F.struct("id", "hash", "line")
-    sets = store(
+    sets = stored(
         lines.groupBy("h1", "h2").agg(F.min(at).alias("at"), F.max(at).alias("last"), F.first(F.struct("size", "low", "high", "keys", "places")).alias("set"))
         .select("h1", "h2", "at", (F.col("at") != F.col("last")).alias("copied"), "set.*"),
         "line-sets",
     )
     parts = max(16, -(-sets.count() // 50_000))
     links = components(candidate_links(sets, parts))
-    members = store(links.unionByName(links.select(F.col("root").alias("node"), "root")).distinct(), "members")
-    crowds = members.groupBy("root").count()
-    wanted = sets.join(members, sets.h1 == members.node).select("at.*", "root", "h1", "h2")
-    words = sets_of(texts, wanted, classes).join(crowds.withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int")).drop("count"), "root")
+    members = stored(links.unionByName(links.select(F.col("root").alias("node"), "root")).distinct(), "members")
+    crowds = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    wanted = sets.join(members.join(crowds, "root"), sets.h1 == F.col("node")).select("at.*", "root", "blocks", "h1", "h2")
+    words = sets_of(texts, wanted, classes)
     own = F.pmod(F.xxhash64("h1", "h2"), F.col("blocks")).cast("int")
     # a component of one block is a group; of more, every two blocks are
     met = words.withColumn("own", own).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).where("own != other or blocks = 1")
     similar = verified(met.withColumn("group", F.xxhash64("root", F.least("own", "other"), F.greatest("own", "other"))))
     similar = similar.select("h1", "h2", F.lit(True).alias("similar"))
     # of a set that goes, all lines; of a set with copies, all but the first
-    decided = store(sets.join(similar, ["h1", "h2"], "left").where("copied or similar").select("h1", "h2", "at", F.coalesce("similar", F.lit(False)).alias("similar")), "decided")
-    places = described_places(texts, classes)
-    gone = places.join(decided, ["h1", "h2"]).where(F.col("similar") | ~(at.eqNullSafe(F.col("at"))))
+    decided = stored(sets.join(similar, ["h1", "h2"], "left").where("copied or similar").select("h1", "h2", "at", F.coalesce("similar", F.lit(False)).alias("similar")), "decided")
+    gone = lines.select("id", "hash", "line", "h1", "h2").join(decided, ["h1", "h2"]).where(F.col("similar") | ~(at.eqNullSafe(F.col("at"))))
     return gone.groupBy("id", "hash").agg(F.collect_set("line").alias("lines"))
 
 
-def described_places(texts: DataFrame, classes: np.ndarray) -> DataFrame:
-    """(id, hash, line, h1, h2) of every line with a word."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        word, number, sizes, first = line_sets(batch.column(2).to_pylist(), classes)
-        if not len(number):
-            return None
-        starts = np.cumsum(sizes) - sizes
-        doc = np.searchsorted(first, number, side="right") - 1
-        h = mixed(word)
-        h1, h2 = np.add.reduceat(h, starts), np.add.reduceat(mixed(h + U(1)), starts)
-        take = pa.array(doc)
-        return pa.record_batch(
-            [batch.column(0).take(take), batch.column(1).take(take), pa.array((number - first[doc]).astype(np.int32)), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64))],
-            ["id", "hash", "line", "h1", "h2"],
-        )
-
-    kind = texts.schema["id"].dataType.simpleString()
-    return by_batch(texts.select("id", "hash", "text"), run, f"id {kind}, hash long, line int, h1 long, h2 long", 1 << 20)
-
-
 def without_similar_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``df``, the text without the lines that have an earlier similar one, and ``lines_removed``."""
     df = df.drop("lines_removed")
