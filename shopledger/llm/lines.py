@@ -47,7 +47,7 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 BYTE_HASH = np.random.default_rng(6).integers(0, 1 << 64, 256, dtype=U)
 BASE = 0x9E3779B97F4A7C15
 _POWERS: list[np.ndarray] = []
-POSTING = np.dtype([("key", "<u4"), ("place", "<u2"), ("size", "<u2"), ("line", "<i8"), ("low", "<u8"), ("high", "<u8")])
+POSTING = np.dtype([("key", "<u4"), ("place", "<u4"), ("size", "<u4"), ("line", "<i8"), ("low", "<u8"), ("high", "<u8")])
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -164,7 +164,7 @@ def keys_of(word: np.ndarray, starts: np.ndarray, sizes: np.ndarray, common: int
         row, key, place = np.r_[row, r.astype(np.int64)], np.r_[key, mixed(k)], np.r_[place, p.astype(np.int64)]
         order = np.argsort(row, kind="stable")
         row, key, place = row[order], key[order], place[order]
-    return row, (key >> U(32)).astype(np.uint32), place.astype(np.uint16)
+    return row, (key >> U(32)).astype(np.uint32), place.astype(np.uint32)
 
 
 def parity(word: np.ndarray, starts: np.ndarray, sizes: np.ndarray, bits: int) -> np.ndarray:
@@ -203,7 +203,7 @@ def described(docs: DataFrame, classes: np.ndarray) -> DataFrame:
             [batch.column(0).take(take), batch.column(1).take(take), pa.array((number - first[doc]).astype(np.int32)),
              pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(sizes.astype(np.int32)),
              pa.array(low.view(np.int64)), pa.array(high.view(np.int64)),
-             packed_list(ends, key, 4), packed_list(ends, place, 2)],
+             packed_list(ends, key, 4), packed_list(ends, place, 4)],
             ["id", "hash", "line", "h1", "h2", "size", "low", "high", "keys", "places"],
         )
 
@@ -279,7 +279,7 @@ def candidate_links(sets: DataFrame, parts: int) -> DataFrame:
             keys, places = columns["keys"].to_pylist(), columns["places"].to_pylist()
             counts = np.array([len(k) // 4 for k in keys])
             p = np.zeros(counts.sum(), POSTING)
-            p["key"], p["place"] = np.frombuffer(b"".join(keys), "<u4"), np.frombuffer(b"".join(places), "<u2")
+            p["key"], p["place"] = np.frombuffer(b"".join(keys), "<u4"), np.frombuffer(b"".join(places), "<u4")
             for name, column in (("size", "size"), ("line", "h1"), ("low", "low"), ("high", "high")):
                 p[name] = np.repeat(columns[column].to_numpy().astype(np.int64).view(U if name in ("low", "high") else np.int64), counts)
             held.append(p)

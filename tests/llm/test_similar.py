@@ -155,6 +155,15 @@ def test_lines(spark, texts, common, monkeypatch):
     assert sorted((str(r.doc_id), str(r.text)) for r in found) == sorted((str(i), str(wanted.get((i, t), t))) for i, t in texts)
 
 
+@pytest.mark.parametrize("sizes", [(65530, 65540), (70000, 70000)])
+def test_lines_of_more_words_than_16_bits_count(spark, sizes):
+    prepare(spark)
+    a, b = ([f"w{k}" for k in range(n)] for n in sizes)
+    b[:5] = [f"other{k}" for k in range(5)]
+    found = lines.without_similar_lines(rows_of(spark, [(1, " ".join(a)), (2, " ".join(b))])).collect()
+    assert {r.doc_id: r.lines_removed for r in found} == {1: 0, 2: 1}
+
+
 @pytest.mark.parametrize("pack", [64, 1])
 def test_top_k(spark, pack, monkeypatch):
     prepare(spark)
