@@ -12,9 +12,11 @@ same document) has a similar set: Jaccard ``THRESHOLD`` or more. Lines without a
 3. Lines with a surviving partner get their words, meet again by prefix word, and the Jaccard index is verified. Only
    whether a line has an earlier match matters, so a line leaves at its first one.
 
-Postings travel as packed arrays, one row per task and part of the word hashes. A word with many lines is dealt to
-blocks of ``BLOCK`` lines that meet two by two; each block meets the earlier ones only, and pairs are formed in numpy
-inside a task, never as rows.
+Postings travel as packed arrays, one row per task and part of the word hashes. They are counted before (in
+``1 << RARITY_BITS`` buckets of their keys): those of a bucket with more than ``HOT`` are dealt to blocks of about so many
+that meet two by two. A component of candidates is dealt to blocks of ``BLOCK`` lines likewise. Pairs are formed in numpy
+inside a task, never as rows. N lines of one word are still about N**2 / 2 comparisons, now in many tasks, and each is
+sent N / ``HOT`` times.
 
 Rows equal in id and text are one document; of rows with one id the text's hash gives the order. Null ids come first.
 Nulls and empty texts have no line to remove and keep their text. Empty tables give no rows.
@@ -39,6 +41,8 @@ TOP, BOTTOM, SMALL = 4, 5, 4
 RARITY_BITS, COMMON = 18, 1 << 15
 #: Words from which a line's signature has 128 bits instead of 64; postings a task packs at once; lines of a block.
 WIDE, PACKED, BLOCK = 64, 1 << 19, 2048
+#: Postings of one bucket of keys that meet in one task.
+HOT = 1 << 13
 #: Bytes of text taken at once: their arrays stay in a core's cache.
 SLICE = 1 << 18
 U = np.uint64
@@ -94,11 +98,18 @@ def rarity(df: DataFrame, text_col: str) -> np.ndarray:
             for part in slices(batch, SLICE):
                 hashes, _, _ = words_of([t for t in part.column(0).to_pylist() if t] or [""])
                 counts += np.bincount((hashes >> U(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
-        yield parts_of(counts)
+        yield from table_parts(counts)
 
-    def parts_of(counts: np.ndarray) -> pa.RecordBatch:
-        parts = np.split(counts, 16)
-        return pa.record_batch([pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in parts])], ["part", "counts"])
+    return class_of(summed_counts(df.select(text_col).mapInArrow(count, "part int, counts binary"))).astype(np.uint16)
+
+
+def table_parts(counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A task's counts in sixteen rows."""
+    yield pa.record_batch([pa.array(range(16), pa.int32()), pa.array([p.tobytes() for p in np.split(counts, 16)])], ["part", "counts"])
+
+
+def summed_counts(tables: DataFrame) -> np.ndarray:
+    """The sum of all tasks' counts."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -107,12 +118,11 @@ def rarity(df: DataFrame, text_col: str) -> np.ndarray:
                 sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
         yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([s.tobytes() for s in sums.values()], pa.binary())], ["part", "counts"])
 
-    schema = "part int, counts binary"
-    rows = df.select(text_col).mapInArrow(count, schema).repartition(16, "part").mapInArrow(add, schema).collect()  # 2**RARITY_BITS counts
-    counts = np.zeros((16, (1 << RARITY_BITS) // 16))
+    rows = tables.repartition(16, "part").mapInArrow(add, "part int, counts binary").collect()  # 2**RARITY_BITS counts
+    counts = np.zeros((16, (1 << RARITY_BITS) // 16), np.int64)
     for r in rows:
         counts[r.part] += np.frombuffer(r.counts, np.int64)
-    return class_of(counts.reshape(-1)).astype(np.uint16)
+    return counts.reshape(-1)
 
 
 def class_of(count):
@@ -215,9 +225,13 @@ def described(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     return by_batch(docs.select("id", "hash", "text"), run, schema, SLICE)
 
 
-def linked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs (as a spanning forest of line numbers) among postings, by the three filters and the signatures."""
-    p = p[np.lexsort((p["size"], p["key"]))]
+def linked(p: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs (as a spanning forest of line numbers) among postings, by the three filters and the signatures.
+
+    side: the block of each posting if two blocks meet (only pairs of both count).
+    """
+    order = np.lexsort((p["size"], p["key"]))
+    p, side = p[order], None if side is None else side[order]
     key, size, place = p["key"], p["size"].astype(np.int64), p["place"].astype(np.int64)
     narrow = p["low"] ^ p["high"]  # the halves of a long signature make a short one
     rows = np.flatnonzero(key[1:] == key[:-1])
@@ -230,6 +244,10 @@ def linked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # sizes ascend within a key: a row whose partner is too long has no further one
         near = (key[rows] == key[other]) & (TOP * size[other] <= BOTTOM * size[rows])
         rows, other = rows[near], other[near]
+        step_rows = rows
+        if side is not None:
+            across = side[rows] != side[other]
+            rows, other = rows[across], other[across]
         a, b = size[rows], size[other]
         overlap = -(-TOP * (a + b) // (TOP + BOTTOM))
         fits = 1 + np.minimum(a - place[rows], b - place[other]) - 1 >= overlap
@@ -240,6 +258,7 @@ def linked(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         )
         good = fits & (differ <= a + b - 2 * overlap) & (p["line"][rows] != p["line"][other])
         held.append((p["line"][rows[good]], p["line"][other[good]]))
+        rows = step_rows
         if sum(len(a) for a, _ in held) > PACKED:
             held = [spanning(held)]
     return spanning(held)
@@ -258,55 +277,119 @@ def spanning(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return lines[bound], lines[root[bound]]
 
 
-def candidate_links(sets: DataFrame, parts: int) -> DataFrame:
-    """(a, b): links of sets (named by h1) that join all candidate pairs."""
+def postings_of(batch: pa.RecordBatch) -> np.ndarray:
+    columns = {n: batch.column(n) for n in batch.schema.names}
+    keys, places = columns["keys"].to_pylist(), columns["places"].to_pylist()
+    counts = np.array([len(k) // 4 for k in keys], np.int64)
+    p = np.zeros(counts.sum(), POSTING)
+    p["key"], p["place"] = np.frombuffer(b"".join(keys), "<u4"), np.frombuffer(b"".join(places), "<u4")
+    for name, column in (("size", "size"), ("line", "h1"), ("low", "low"), ("high", "high")):
+        p[name] = np.repeat(columns[column].to_numpy().astype(np.int64).view(U if name in ("low", "high") else np.int64), counts)
+    return p
+
+
+def bucket(key: np.ndarray) -> np.ndarray:
+    return (key >> np.uint32(32 - RARITY_BITS)).astype(np.int64)
+
+
+def block_of(line: np.ndarray, blocks: np.ndarray) -> np.ndarray:
+    return (mixed(line.view(U) + U(2)) % blocks.astype(U)).astype(np.int64)
+
+
+class Deal:
+    """Where postings go: the part of their key or, of a hot bucket, every part in which their block meets another."""
+
+    def __init__(self, counts: np.ndarray, parts: int, hot: int):
+        self.parts = parts
+        self.hot = np.flatnonzero(counts > hot + 2 * counts.mean())  # not those that are as full as any
+        self.blocks = -(-counts[self.hot] // hot)
+        self.first = parts + np.cumsum(self.blocks**2) - self.blocks**2  # parts of block i and j of a bucket: first + i * blocks + j
+
+    def parts_of(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, part) of the postings, a row for each part."""
+        part = (p["key"] % np.uint32(self.parts)).astype(np.int64)
+        if not len(self.hot):
+            return np.arange(len(p)), part
+        at = np.minimum(np.searchsorted(self.hot, bucket(p["key"])), len(self.hot) - 1)
+        crowded = self.hot[at] == bucket(p["key"])
+        rows, at = np.flatnonzero(crowded), at[crowded]
+        blocks = self.blocks[at]
+        own = np.repeat(block_of(p["line"][rows], blocks), blocks)
+        other = ragged(np.zeros(len(rows), np.int64), blocks)
+        spread = np.repeat(self.first[at], blocks) + np.minimum(own, other) * np.repeat(blocks, blocks) + np.maximum(own, other)
+        alone = np.flatnonzero(~crowded)
+        return np.r_[alone, np.repeat(rows, blocks)], np.r_[part[alone], spread]
+
+    def side(self, p: np.ndarray, part: int) -> np.ndarray | None:
+        """The block of each posting if two meet in the part."""
+        if part < self.parts:
+            return None
+        at = int(np.searchsorted(self.first, part, side="right")) - 1
+        i, j = divmod(part - int(self.first[at]), int(self.blocks[at]))
+        return None if i == j else block_of(np.ascontiguousarray(p["line"]), np.full(len(p), self.blocks[at]))
+
+
+def posting_counts(sets: DataFrame) -> np.ndarray:
+    """Postings in each bucket of keys."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << RARITY_BITS, np.int64)
+        for batch in batches:
+            counts += np.bincount(bucket(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4")), minlength=len(counts))
+        yield from table_parts(counts)
+
+    return summed_counts(sets.select("keys").mapInArrow(count, "part int, counts binary"))
+
+
+def dealt(sets: DataFrame, deal: Deal) -> DataFrame:
+    """(part, postings): packed postings of sets by the part in which they meet."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def out() -> pa.RecordBatch:
             p = np.concatenate(held)
-            part = p["key"] % np.uint32(parts)
+            row, part = deal.parts_of(p)
             order = np.argsort(part, kind="stable")
-            p, cut = p[order], np.flatnonzero(np.diff(part[order])) + 1
-            pieces = np.split(p, cut)
-            return pa.record_batch(
-                [pa.array([int(x["key"][0]) % parts for x in pieces], pa.int32()), pa.array([x.tobytes() for x in pieces], pa.binary())], ["part", "postings"]
-            )
+            row, part = row[order], part[order]
+            cut = np.flatnonzero(np.diff(part)) + 1
+            numbers = part[np.r_[0, cut]]
+            return pa.record_batch([pa.array(numbers, pa.int64()), pa.array([p[r].tobytes() for r in np.split(row, cut)], pa.binary())], ["part", "postings"])
 
         for batch in batches:
-            columns = {n: batch.column(n) for n in batch.schema.names}
-            keys, places = columns["keys"].to_pylist(), columns["places"].to_pylist()
-            counts = np.array([len(k) // 4 for k in keys])
-            p = np.zeros(counts.sum(), POSTING)
-            p["key"], p["place"] = np.frombuffer(b"".join(keys), "<u4"), np.frombuffer(b"".join(places), "<u4")
-            for name, column in (("size", "size"), ("line", "h1"), ("low", "low"), ("high", "high")):
-                p[name] = np.repeat(columns[column].to_numpy().astype(np.int64).view(U if name in ("low", "high") else np.int64), counts)
-            held.append(p)
+            held.append(postings_of(batch))
             if sum(map(len, held)) >= PACKED:
                 yield out()
                 held = []
         if sum(map(len, held)):
             yield out()
 
+    return sets.select("h1", "size", "low", "high", "keys", "places").mapInArrow(pack, "part long, postings binary")
+
+
+def candidate_links(sets: DataFrame, parts: int) -> DataFrame:
+    """(a, b): links of sets (named by h1) that join all candidate pairs."""
+    sets = sets.where(f"size >= {SMALL}")
+    deal = Deal(posting_counts(sets), parts, HOT)
+
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[int, list[bytes]] = {}
         last = None
         for batch in batches:
             for part, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if part != last and last is not None:
-                    yield links(found.pop(last))
+                    yield links(last, found.pop(last))
                 last = part
                 found.setdefault(part, []).append(data)
         if last is not None:
-            yield links(found.pop(last))
+            yield links(last, found.pop(last))
 
-    def links(data: list[bytes]) -> pa.RecordBatch:
-        a, b = linked(np.frombuffer(b"".join(data), POSTING))
+    def links(part: int, data: list[bytes]) -> pa.RecordBatch:
+        p = np.frombuffer(b"".join(data), POSTING)
+        a, b = linked(p, deal.side(p, part))
         return pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
-    posted = sets.where("size >= 4").select("h1", "size", "low", "high", "keys", "places").mapInArrow(pack, "part int, postings binary")
-    return posted.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(reduce, "a long, b long")
+    return dealt(sets, deal).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(reduce, "a long, b long")
 
 
 def earlier_matches(found: list[tuple], classes: int = 256) -> list[int]:

@@ -164,6 +164,26 @@ def test_lines_of_more_words_than_16_bits_count(spark, sizes):
     assert {r.doc_id: r.lines_removed for r in found} == {1: 0, 2: 1}
 
 
+@pytest.mark.parametrize("common", [1 << 15, 3])
+def test_hot_words_meet_in_blocks(spark, common, monkeypatch):
+    """Template lines of 20 words of which two vary: small blocks give the same result, and no task holds a whole word."""
+    prepare(spark)
+    r = random.Random(9)
+    fixed = [f"fixed{k}" for k in range(18)]
+    df = rows_of(spark, [(k, " ".join(fixed + [f"a{r.randrange(90)}", f"b{r.randrange(90)}"])) for k in range(400)])
+    monkeypatch.setattr(lines, "COMMON", common)
+    wanted = sorted(lines.without_similar_lines(df).select("doc_id", "text").collect())
+    monkeypatch.setattr(lines, "HOT", 32)
+    assert sorted(lines.without_similar_lines(df).select("doc_id", "text").collect()) == wanted
+    docs = df.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), "text")
+    sets = lines.described(docs, lines.rarity(docs, "text"))
+    deal = lines.Deal(lines.posting_counts(sets), 16, 32)
+    held = {}
+    for part, data in lines.dealt(sets, deal).collect():
+        held.setdefault(part, []).extend(np.frombuffer(bytes(data), lines.POSTING)["key"].tolist())
+    assert len(deal.hot) and max(keys.count(k) for keys in held.values() for k in set(keys)) <= 4 * 32
+
+
 @pytest.mark.parametrize("pack", [64, 1])
 def test_top_k(spark, pack, monkeypatch):
     prepare(spark)
