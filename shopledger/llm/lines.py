@@ -24,7 +24,7 @@ Nulls and empty texts have no line to remove and keep their text. Empty tables g
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -68,9 +68,10 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U(31))
 
 
-def words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_of(texts: list[str], fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash and line number of every word, and each text's first line number (and the number of lines)."""
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    parts = [p.lower() for p in parts] if fold else parts
     data = np.frombuffer(b"\n".join(parts), np.uint8)
     first = np.cumsum([0, *(p.count(b"\n") + 1 for p in parts)])
     space = np.ones(len(data) + 2, bool)
@@ -89,14 +90,14 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
 
 
-def rarity(df: DataFrame, text_col: str) -> np.ndarray:
+def rarity(df: DataFrame, text_col: str, hashes_of: Callable[[list[str]], np.ndarray] = lambda texts: words_of(texts)[0]) -> np.ndarray:
     """Rarity class of each hash bucket: sixteen times the binary logarithm of its words' count."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << RARITY_BITS, np.int64)
         for batch in batches:
             for part in slices(batch, SLICE):
-                hashes, _, _ = words_of([t for t in part.column(0).to_pylist() if t] or [""])
+                hashes = hashes_of([t for t in part.column(0).to_pylist() if t] or [""])
                 counts += np.bincount((hashes >> U(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
         yield from table_parts(counts)
 
@@ -132,9 +133,14 @@ def class_of(count):
 def line_sets(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct words of each line with a word, rarest first: (words, line numbers, sizes, first line of each text)."""
     hashes, line, first = words_of(texts)
+    return *distinct_words(hashes, line, classes), first
+
+
+def distinct_words(hashes: np.ndarray, line: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of each line with a word, rarest first: (words, line numbers, sizes). Lines ascend."""
     rare = classes[(hashes >> U(64 - RARITY_BITS)).astype(np.int64)].astype(U)
     word = rare << U(52) | hashes & U((1 << 52) - 1)
-    if len(first) < 1 << 20 and first[-1] < 1 << 20:
+    if len(line) and line[-1] < 1 << 20:
         key = line.astype(U) << U(44) | word >> U(20)
         order = np.argsort(key)
         key = key[order]
@@ -147,7 +153,7 @@ def line_sets(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.nda
     new[1:] = (word[1:] != word[:-1]) | (line[1:] != line[:-1])
     word, line = word[new], line[new]
     number, sizes = np.unique(line, return_counts=True)
-    return word, number, sizes, first
+    return word, number, sizes
 
 
 def prefix(size: np.ndarray) -> np.ndarray:
@@ -188,6 +194,27 @@ def parity(word: np.ndarray, starts: np.ndarray, sizes: np.ndarray, bits: int) -
     return out
 
 
+def names(word: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of each set."""
+    h = mixed(word)
+    return np.add.reduceat(h, starts), np.add.reduceat(mixed(h + U(1)), starts)
+
+
+def signs(word: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The halves of each set's signature."""
+    low, high = parity(word, starts, sizes, 64)[:, 0], np.zeros(len(sizes), U)
+    long = np.flatnonzero(sizes >= WIDE)
+    if len(long):
+        ends = np.cumsum(sizes[long])
+        wide = parity(word[ragged(starts[long], sizes[long])], ends - sizes[long], sizes[long], 128)
+        low[long], high[long] = wide[:, 0], wide[:, 1]
+    return low, high
+
+
+def packed_list(ends: np.ndarray, values: np.ndarray, width: int) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * width).astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
 def described(docs: DataFrame, classes: np.ndarray) -> DataFrame:
     """(id, hash, line, h1, h2, size, low, high, keys, places) of every line with a word."""
     common = int(class_of(COMMON))
@@ -198,14 +225,8 @@ def described(docs: DataFrame, classes: np.ndarray) -> DataFrame:
             return None
         starts = np.cumsum(sizes) - sizes
         doc = np.searchsorted(first, number, side="right") - 1
-        h = mixed(word)
-        h1, h2 = np.add.reduceat(h, starts), np.add.reduceat(mixed(h + U(1)), starts)
-        low, high = parity(word, starts, sizes, 64)[:, 0], np.zeros(len(sizes), U)
-        long = np.flatnonzero(sizes >= WIDE)
-        if len(long):
-            ends = np.cumsum(sizes[long])
-            wide = parity(word[ragged(starts[long], sizes[long])], ends - sizes[long], sizes[long], 128)
-            low[long], high[long] = wide[:, 0], wide[:, 1]
+        h1, h2 = names(word, starts)
+        low, high = signs(word, starts, sizes)
         row, key, place = keys_of(word, starts, sizes, common)
         ends = np.searchsorted(row, np.arange(len(sizes) + 1)).astype(np.int32)
         take = pa.array(doc)
@@ -217,9 +238,6 @@ def described(docs: DataFrame, classes: np.ndarray) -> DataFrame:
             ["id", "hash", "line", "h1", "h2", "size", "low", "high", "keys", "places"],
         )
 
-    def packed_list(ends: np.ndarray, values: np.ndarray, width: int) -> pa.Array:
-        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * width).astype(np.int32)), pa.py_buffer(values.tobytes())])
-
     kind = docs.schema["id"].dataType.simpleString()
     schema = f"id {kind}, hash long, line int, h1 long, h2 long, size int, low long, high long, keys binary, places binary"
     return by_batch(docs.select("id", "hash", "text"), run, schema, SLICE)

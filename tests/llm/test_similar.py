@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shopledger.llm import graph, lines, simhash, suffix, topk
+from shopledger.llm import graph, lines, shingles, simhash, suffix, topk
 from shopledger.llm.common import prepare, table
 from tests.llm.test_text import LONG, SCHEMA, odd_rows
 
@@ -184,6 +184,42 @@ def test_hot_words_meet_in_blocks(spark, common, monkeypatch):
     assert len(deal.hot) and max(keys.count(k) for keys in held.values() for k in set(keys)) <= 4 * 32
 
 
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+@pytest.mark.parametrize("hot,block", [(1 << 13, 2048), (16, 8)])
+def test_near_duplicates_by_jaccard(spark, hot, block, monkeypatch):
+    """All pairs of brute force, among copies with up to a tenth of their words changed."""
+    prepare(spark)
+    monkeypatch.setattr(lines, "HOT", hot)
+    monkeypatch.setattr(lines, "BLOCK", block)
+    r = random.Random(11)
+    texts = corpus(3, 60)
+    for k in range(200, 230):
+        base = [f"w{r.randrange(400)}" for _ in range(r.randint(60, 160))]
+        texts.append((k, " ".join(base)))
+        for n in range(3):
+            words = list(base)
+            for _ in range(r.randint(1, max(1, len(words) // 25))):
+                words[r.randrange(len(words))] = f"x{r.randrange(9999)}"
+            texts.append((1000 + 4 * k + n, " \n".join(words).title()))
+    sets = [shingle_set(t) for _, t in texts]
+    group, pairs = list(range(len(texts))), 0
+    for a in range(len(texts)):
+        for b in range(a):
+            similar = sets[a] == sets[b] or 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))
+            pairs += similar and sets[a] != sets[b]
+            if similar and group[a] != group[b]:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    least = lambda ids: min(ids, key=lambda i: (i is not None, i or 0))
+    wanted = [least([texts[k][0] for k in range(len(texts)) if group[k] == g]) for g in set(group)]
+    found = corpus_pipeline.drop_near_duplicates(spark, rows_of(spark, texts), "")
+    assert pairs > 30 and sorted(map(str, wanted)) == sorted(str(x.doc_id) for x in found.select("doc_id").collect())
+
+
 @pytest.mark.parametrize("pack", [64, 1])
 def test_top_k(spark, pack, monkeypatch):
     prepare(spark)
