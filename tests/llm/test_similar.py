@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shopledger.llm import graph, lines, shingles, simhash, suffix, topk
-from shopledger.llm.common import prepare, table
+from shopledger.llm.common import held_out, prepare, table
 from tests.llm.test_text import LONG, SCHEMA, odd_rows
 
 
@@ -267,6 +267,16 @@ def test_pipeline_stages(spark, tiny, tmp_path):
     assert docs.count() and corpus_pipeline.run(spark, tiny).count()
 
 
+@pytest.mark.parametrize("lang", [None, "en"])
+def test_language_stage_without_labels(spark, lang):
+    """No row to learn from (none has a language, or held-out ones only): texts with a letter stay as they are."""
+    prepare(spark)
+    df = rows_of(spark, [(k, t) for k, t in enumerate(["a text", "é", None, "", "12 34 !", "x1"] * 4)])
+    df = df.withColumn("lang", F.when(held_out(F.col("doc_id")), F.lit(lang)).cast("string"))
+    found = corpus_pipeline.identify_language(spark, df, "")
+    assert sorted(map(str, found.collect())) == sorted(map(str, df.where("text in ('a text', 'é', 'x1')").select(*found.columns).collect()))
+
+
 def test_pipeline_on_an_empty_table(spark, tiny, tmp_path):
     docs = table(spark, tiny, "documents").limit(0)
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
