@@ -18,6 +18,7 @@ QUERIES = {
     "op8_packing": "packing",
     "op9_suffix": "suffix",
     "op10_simhash": "simhash",
+    "op12_bytebpe": "bytebpe",
 }
 
 
