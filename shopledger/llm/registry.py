@@ -1,4 +1,4 @@
-"""The registered queries of the training-data operators; none can be stated as SQL."""
+"""The registered queries of the training-data operators, and the SQL of those that can be stated as SQL."""
 
 from __future__ import annotations
 
@@ -18,13 +18,16 @@ QUERIES = {
     "op8_packing": "packing",
     "op9_suffix": "suffix",
     "op10_simhash": "simhash",
+    "op11_spelling": "spelling",
     "op12_bytebpe": "bytebpe",
 }
 
+SQL = {"op11_spelling": "SPELLING_SQL"}
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: getattr(import_module(f"shopledger.llm.{module}"), name) for name, module in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: getattr(import_module(f"shopledger.llm.{QUERIES[name]}"), sql) for name, sql in SQL.items()}
