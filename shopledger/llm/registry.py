@@ -20,9 +20,10 @@ QUERIES = {
     "op10_simhash": "simhash",
     "op11_spelling": "spelling",
     "op12_bytebpe": "bytebpe",
+    "op13_ranking": "ranking",
 }
 
-SQL = {"op11_spelling": "SPELLING_SQL"}
+SQL = {"op11_spelling": "SPELLING_SQL", "op13_ranking": "RANKING_SQL"}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
