@@ -121,6 +121,27 @@ def safe_read(i: Inputs) -> DataFrame:
     return fs.safe_read(i.spark, paths, schemas.BONUS_RATE, ["employee_number", "machine", "silver_rate"]).drop(*fs.PLACE)
 
 
+def rejected_records(i: Inputs) -> DataFrame:
+    """Reports with an unclosed quote, a cell too many, bytes that are no text, no rate column, no line, or no file."""
+    folder = new_folder(i.spark, "drop")
+    kind = F.pmod(_uid(), F.lit(5))
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in schemas.BONUS_RATE.values()]
+    line = F.concat_ws(",", *cells)
+    line = F.when(kind == 0, F.concat(F.lit('"'), line)).when(kind == 1, F.concat(line, F.lit(",9"))).when(kind == 2, F.concat(line, F.lit(","))).otherwise(line)
+    header = ",".join(schemas.BONUS_RATE)
+    for name, labels in {"Bonus rate.csv": header, "Bonus of old.csv": header.replace("Silver Rate", "Rate")}.items():
+        # one file with its header on top, as a report is: a few rows per employee
+        top = i.spark.range(1).select(F.lit(0).alias("at"), F.lit(labels).alias("value"))
+        both = top.unionByName(i.bonus_rate.select(F.lit(1).alias("at"), line.alias("value")))
+        both.coalesce(1).sortWithinPartitions("at").select("value").write.text(f"{folder}/{name}")
+    i.spark.range(1).select(F.lit("").alias("value")).write.text(f"{folder}/Bonus blank.csv")
+    paths = [*(f"{folder}/{n}" for n in ("Bonus rate.csv", "Bonus of old.csv", "Bonus blank.csv")), f"{folder}/absent.csv"]
+    read = fs.read_records(i.spark, paths, schemas.BONUS_RATE, ["employee_number", "machine", "silver_rate"])
+    named = lambda df, reason: df.groupBy(fs.drop_name(F.col("file_path")).alias("file_name"), reason.alias("reason"))
+    return named(read.rejected, F.col("reason")).agg(F.count("*").alias("n")).unionByName(
+        named(read.rows, F.lit("read")).agg(F.count("*").alias("n")))
+
+
 def route_files(i: Inputs) -> DataFrame:
     folder = new_folder(i.spark, "drop")
     fs.write_csv(i.bonus_rate, f"{folder}/a/Operator Bonus Rate.csv", schemas.BONUS_RATE)
@@ -190,6 +211,7 @@ QUERIES = {
     "route_files": route_files,
     "load_union": load_union,
     "safe_read": safe_read,
+    "rejected_records": rejected_records,
     "load_timesheets": load_timesheets,
     "load_schedules": lambda i: fs.load_schedules(i.spark, drop_schedules(i)),
     "file_department": lambda i: load_timesheets(i).groupBy("department").agg(F.count(F.lit(1)).alias("n_rows")),
@@ -270,6 +292,11 @@ UNION ALL SELECT 'die_price', 'Die Price.csv', count(*) FROM die_price""",
     "load_union": qb.ORACLES["operator_output_clean"],
     "safe_read": f"""WITH {ctes('bonus_rate')} SELECT employee_number, machine, CAST(silver_rate AS VARCHAR) AS silver_rate
   FROM bonus_rate""",
+    "rejected_records": f"""WITH {ctes('bonus_rate')}, kinds AS (
+  SELECT CAST(substr(employee_number, 3) AS INT) % 5 AS kind FROM bonus_rate)
+SELECT 'Bonus rate.csv' AS file_name, CASE kind WHEN 0 THEN 'broken quotes' WHEN 1 THEN 'more cells than the header' ELSE 'read' END AS reason,
+  count(*) AS n FROM kinds GROUP BY ALL
+UNION ALL VALUES ('Bonus of old.csv', 'no column Silver Rate', 1), ('Bonus blank.csv', 'no line', 1), ('absent.csv', 'missing', 1)""",
     "load_timesheets": f"WITH {ctes('timesheet')} {_LOADED}",
     "load_schedules": f"""WITH {ctes('schedule')}, {_SCHED} SELECT CAST(sched_date AS DATE) AS sched_date,
   CAST(sched_date||' '||sched_start||':00' AS TIMESTAMP) AS sched_start, users, availability_status,

@@ -9,6 +9,7 @@ read covers any number of files.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from shopledger.functions.text import to_number
 from shopledger.operators.cleaning import (
     blanks_to_null, drop_all_null, forward_fill, with_employee_id,
 )
+from shopledger.session import store
 
 # Word in the file name -> role; the first hit decides.
 ROLES = {
@@ -69,65 +71,112 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
     return [p for p in paths if there(p)]
 
 
-#: Columns a source file may have at most.
-WIDTH = 64
+#: A cell with the comma before it: quoted (a quote inside is doubled or escaped) or plain.
+QUOTED = r'"(?:[^"\\]|\\.|""|\\)*"'
+CELL = f",(?:{QUOTED}(?=,|$)|[^,]*)"
+PLACE = ["file_path", "file_block", "row_id"]
+LINE_FIELDS = "file_path string, file_block bigint, row_id bigint, cells array<string>, raw string, broken string"
+REJECTED = "file_path string, reason string, line string"
 
 
-def safe_read(
+@dataclass(frozen=True)
+class Records:
+    """What a tolerant read gives: the rows, and the lines and files that gave none, with the reason."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def _cells(value: Column) -> tuple[Column, Column]:
+    """The cells of a line, and what is wrong with it (null if nothing is). Blank cells are null, quoted blanks empty."""
+    found = F.regexp_extract_all(F.concat(F.lit(","), value), F.lit(CELL), F.lit(0))
+    is_quoted = lambda c: c.rlike(f"^,{QUOTED}$")
+    plain = lambda c: F.when(c != "", c)
+    unquoted = F.transform(found, lambda c: F.when(is_quoted(c), F.regexp_replace(F.substring(c, F.lit(3), F.length(c) - 3), r'\\"|""', '"')).otherwise(plain(F.substring(c, F.lit(2), F.length(c)))))
+    cells = F.when(value.contains('"'), unquoted).otherwise(F.transform(F.split(value, ",", -1), plain))
+    open_ = F.exists(found, lambda c: c.startswith(',"') & ~is_quoted(c)) | (F.length(F.array_join(found, "")) != F.length(value) + 1)
+    broken = F.when(~F.is_valid_utf8(value), "not UTF-8").when(value.contains('"') & open_, "broken quotes")
+    return cells, broken
+
+
+def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All lines of the files, parsed and written once: whatever is asked of them later reads what was written."""
+    text = (
+        spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("recursiveFileLookup", True).text(paths)
+        .select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("file_block"),
+                F.monotonically_increasing_id().alias("row_id"))
+        .filter(F.trim("value") != "")
+    )
+    cells, broken = _cells(F.col("value"))
+    parsed = text.select(*PLACE, cells.alias("cells"), "value", broken.alias("broken"))
+    return store(parsed.select(*PLACE, "cells", F.when(F.col("broken").isNotNull(), F.col("value")).alias("raw"), "broken"), "lines")
+
+
+def read_records(
     spark: SparkSession, paths: str | Iterable[str], layout: dict[str, str], columns: Iterable[str] | None = None,
-    skip_rows: int = 0,
-) -> DataFrame:
-    """Text files of a layout, missing or corrupt ones giving no rows; any number of paths is one scan.
+    skip_rows: int = 0, strict: bool = False,
+) -> Records:
+    """Rows of text files of a layout, and what was rejected; any number of paths is one scan.
+
+    Columns are found by each file's own header, wherever they stand and however many there are; other columns are
+    left out. ``skip_rows`` lines at the top of each file come before the header. Rows have file_path, file_block and
+    row_id too, which give the order within a file.
 
-    Columns are found by each file's own header, wherever they stand; other
-    columns are left out, and a file without one of those wanted is an error.
-    ``skip_rows`` lines at the top of each file come before the header.  Adds
-    file_path, file_block and row_id, which give the order within a file.
+    Rejected are paths that name nothing, files without a line or without a wanted column (an error if ``strict``), and
+    lines that are no UTF-8, whose quotes don't close or that hold more than the header names. A line with fewer cells
+    has nulls. Of a file that breaks off, the lines before are read.
     """
-    paths = existing(spark, [paths] if isinstance(paths, str) else list(paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    found = existing(spark, paths)
     columns = list(columns) if columns is not None else list(layout.values())
-    place = {"file_path": "string", "file_block": "bigint", "row_id": "bigint"}
-    if not paths:
+    missing = spark.createDataFrame([(p, "missing", None) for p in paths if p not in found], REJECTED)
+    if not found:
         fields = [T.StructField(c, T.StringType()) for c in columns]
-        fields += [T.StructField(c, T.StringType() if t == "string" else T.LongType()) for c, t in place.items()]
-        return spark.createDataFrame([], T.StructType(fields))
-    cells = [f"c{k}" for k in range(WIDTH)]
-    rows = (
-        spark.read.schema(T.StructType([T.StructField(c, T.StringType()) for c in cells]))
-        .option("mode", "PERMISSIVE")
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
-        .option("recursiveFileLookup", True)
-        .csv(paths)
-        .select(
-            F.array(*cells).alias("cells"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("_metadata.file_block_start").alias("file_block"),
-            F.monotonically_increasing_id().alias("row_id"),
-        )
-    )
+        fields += [T.StructField(c, T.StringType() if c == "file_path" else T.LongType()) for c in PLACE]
+        return Records(spark.createDataFrame([], T.StructType(fields)), missing)
+    lines = scan_lines(spark, found)
     # The header is the first line of a file behind the skipped ones: one short row per file.
     top = F.slice(F.sort_array(F.collect_list(F.struct("row_id", "cells"))), skip_rows + 1, 1)
-    first = rows.filter("file_block = 0").groupBy("file_path").agg(F.min("row_id").alias("top_row"))
-    headers = (
-        rows.join(first, "file_path").filter((F.col("file_block") == 0) & (F.col("row_id") <= F.col("top_row") + skip_rows))
+    first = lines.filter("file_block = 0").groupBy("file_path").agg(F.min("row_id").alias("top_row"))
+    head = (
+        lines.join(first, "file_path").filter((F.col("file_block") == 0) & (F.col("row_id") <= F.col("top_row") + skip_rows))
         .groupBy("file_path").agg(top.alias("top")).select("file_path", F.inline("top").alias("header_row", "labels"))
         .select("file_path", "header_row", F.transform("labels", lambda c: F.trim(F.ltrim(c, F.lit("\ufeff")))).alias("labels"))
     )
-    body = rows.join(headers, "file_path").filter((F.col("file_block") > 0) | (F.col("row_id") > F.col("header_row")))
-    wanted = {name: label for label, name in layout.items() if name in columns}
-    return body.select(*[_cell(wanted[name]).alias(name) for name in columns], *place)
+    label_of = {name: label for label, name in layout.items()}
+    at = F.array(*[_position(label_of[name]) for name in columns])
+    lacking = F.filter(F.array(*[F.when(_position(label_of[name]) == 0, F.lit(label_of[name])) for name in columns]), lambda c: c.isNotNull())
+    if strict:
+        error = F.raise_error(F.concat(F.lit("no column '"), lacking[0], F.lit("' in "), F.col("file_path"))).cast("array<int>")
+        at = F.when(F.size(lacking) > 0, error).otherwise(at)
+    head = head.select("*", at.alias("at"), F.concat(F.lit("no column "), F.array_join(lacking, ", ")).alias("lacks"), (F.size(lacking) == 0).alias("whole"))
+    body = lines.join(head, "file_path").filter((F.col("file_block") > 0) | (F.col("row_id") > F.col("header_row")))
+    beyond = F.exists(F.slice("cells", F.size("labels") + 1, F.greatest(F.size("cells"), F.lit(1))), lambda c: c.isNotNull())
+    reason = F.coalesce("broken", F.when(beyond, "more cells than the header"))
+    judged = body.withColumn("reason", reason)
+    cells = [F.get("cells", F.get("at", F.lit(k)) - 1).alias(name) for k, name in enumerate(columns)]
+    rows = judged.filter(F.col("reason").isNull() & (F.lit(True) if strict else F.col("whole"))).select(*cells, *PLACE)
+    of_lines = judged.filter(F.col("reason").isNotNull() & F.col("whole")).select(
+        "file_path", "reason", F.coalesce("raw", F.array_join("cells", ",", "")).alias("line")
+    )
+    of_files = head.filter(~F.col("whole")).select("file_path", F.col("lacks").alias("reason"), F.lit(None).cast("string").alias("line"))
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(found).select(F.col("_metadata.file_path").alias("file_path"))
+    blank = listed.join(head.select("file_path"), "file_path", "left_anti").select("file_path", F.lit("no line").alias("reason"), F.lit(None).cast("string").alias("line"))
+    return Records(rows, missing.unionByName(of_lines).unionByName(of_files).unionByName(blank))
 
 
-def _cell(label: str) -> Column:
-    """The cell under a label or its other name; a file without it is an error."""
-    names = [label, *[other for other, known in schemas.OTHER_LABELS.items() if known == label]]
-    at = F.greatest(*[F.array_position("labels", n) for n in names], F.lit(0))
-    missing = F.raise_error(F.concat(F.lit(f"no column '{label}' in "), F.col("file_path"))).cast("string")
-    return F.when(at > 0, F.get("cells", (at - 1).cast("int"))).otherwise(missing)
+def safe_read(
+    spark: SparkSession, paths: str | Iterable[str], layout: dict[str, str], columns: Iterable[str] | None = None,
+    skip_rows: int = 0,
+) -> DataFrame:
+    """The rows of ``read_records``; a file without a wanted column is an error."""
+    return read_records(spark, paths, layout, columns, skip_rows, strict=True).rows
 
 
-PLACE = ["file_path", "file_block", "row_id"]
+def _position(label: str) -> Column:
+    """Place of a label, or of its other name, in a file's header, from 1; 0 if it has none."""
+    names = [label, *[other for other, known in schemas.OTHER_LABELS.items() if known == label]]
+    return F.coalesce(F.greatest(*[F.array_position("labels", n) for n in names], F.lit(0)), F.lit(0)).cast("int")
 
 
 def load_union(

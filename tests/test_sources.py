@@ -134,3 +134,39 @@ def test_many_files_are_one_scan(spark, tmp_path):
     assert sorted(int(r.price) for r in df.collect()) == list(range(300))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in plan and plan.count("Relation [") <= 3
+
+
+def test_rejected_lines_and_files_have_a_reason(spark, tmp_path):
+    good = 'Price,ProductID,ERPNum\n1,p,"a, ""b"" \\"c\\""\n2,"",\n3\n'
+    (tmp_path / "one.csv").write_bytes(
+        good.encode() + b'4,"open,e\n5,p,e,more\n6,p,e,,\n7,p\xff,e\n8,"p"x,e\n9,"C:\\",e\n'
+    )
+    (tmp_path / "two.csv").write_text("Price,Product\n1,p\n")
+    (tmp_path / "none.csv").write_text("\n\n")
+    paths = [str(tmp_path / n) for n in ("one.csv", "two.csv", "none.csv", "gone.csv")]
+    read = fs.read_records(spark, paths, schemas.DIE_PRICE)
+    rows = {(r.price, r.product_id, r.erp_num) for r in read.rows.collect()}
+    assert rows == {("1", "p", 'a, "b" "c"'), ("2", "", None), ("3", None, None), ("6", "p", "e"), ("9", "C:\\", "e")}
+    rejected = sorted((r.file_path.rsplit("/", 1)[1], r.reason, None if r.line is None else r.line[0]) for r in read.rejected.collect())
+    assert rejected == [
+        ("gone.csv", "missing", None), ("none.csv", "no line", None), ("one.csv", "broken quotes", "4"),
+        ("one.csv", "broken quotes", "8"), ("one.csv", "more cells than the header", "5"), ("one.csv", "not UTF-8", "7"),
+        ("two.csv", "no column ERPNum, ProductID", None),
+    ]
+
+
+def test_a_wide_file_is_read_whole(spark, tmp_path):
+    (tmp_path / "wide.csv").write_text(",".join([*(f"x{k}" for k in range(200)), "Price", "ProductID", "ERPNum"]) + "\n" + "," * 200 + "1,p,e\n")
+    assert [tuple(r)[:3] for r in fs.safe_read(spark, str(tmp_path / "wide.csv"), schemas.DIE_PRICE, ["price", "product_id", "erp_num"]).collect()] == [("1", "p", "e")]
+
+
+def test_a_read_scans_its_files_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "one.csv").write_text("Price,ProductID,ERPNum\n1,p,e\n")
+    written = []
+    store = fs.store
+    monkeypatch.setattr(fs, "store", lambda df, label: written.append(df) or store(df, label))
+    read = fs.read_records(spark, str(tmp_path), schemas.DIE_PRICE)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (read.rows, read.rejected)]
+    (scan,) = [df._jdf.queryExecution().executedPlan().toString() for df in written]
+    assert scan.count("Scan text") == 1 and not any("Scan text" in p or "Scan csv" in p for p in plans)
+    assert read.rows.count() == 1 and read.rejected.count() == 0
