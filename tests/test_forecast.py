@@ -52,8 +52,7 @@ def test_seasonal_model_recovers_its_coefficients(spark):
     for t in range(n):
         y[t] = w[t] + (y[t - 1] if t >= 1 else 0) + (y[t - 12] if t >= 12 else 0) - (y[t - 13] if t >= 13 else 0)
     df = frame(spark, {"a": y})
-    model, _ = fc.sarima_fit(df, ["sales"])
-    coef = model.first().coef
+    coef = fc.sarima_fit(df, ["sales"]).first().coef
     assert np.allclose(coef[:3], [phi, seasonal, -phi * seasonal], atol=0.12)
     assert abs(coef[3] - theta) < 0.15
     path = fc.sarima_forecast(df, ["sales"], 5).orderBy("out_date").collect()
@@ -130,3 +129,80 @@ def test_a_key_without_overlap_is_an_error(spark):
     assert fc.error_metrics(aligned, ["sales"], predicted).count() == 1
     with pytest.raises(Exception, match="no overlapping data"):
         fc.error_metrics(aligned, ["sales"], a).collect()
+
+
+def simulated(rnd, n=2500, phi=0.5, seasonal=0.3, theta=-0.4):
+    e = rnd.normal(size=n)
+    w, y = np.zeros(n), np.zeros(n)
+    for t in range(n):
+        past = lambda x, k: x[t - k] if t >= k else 0.0
+        w[t] = phi * past(w, 1) + seasonal * past(w, 12) - phi * seasonal * past(w, 13) + e[t] + theta * past(e, 1)
+        y[t] = w[t] + past(y, 1) + past(y, 12) - past(y, 13)
+    return y, np.array([phi, seasonal, -phi * seasonal, theta, 0, 0])
+
+
+def test_refined_coefficients_are_closer_than_two_stages(spark, monkeypatch):
+    rnd = np.random.default_rng(11)
+    made = [simulated(rnd) for _ in range(20)]
+    y, size = fc._stacked([y for y, _ in made])
+    want = np.stack([c for _, c in made])
+    refined = fc.fit_seasonal(y, size)
+    monkeypatch.setattr(fc, "STEPS", 0)
+    rough = fc.fit_seasonal(y, size)
+    gap = lambda fit: np.sqrt(((fit[0] - want) ** 2).mean())
+    assert gap(refined) < 0.9 * gap(rough)
+    assert (refined[1] <= rough[1] * (1 + 1e-12)).all() and np.allclose(refined[1], 1, atol=0.15)
+
+
+def test_series_of_a_batch_do_not_touch_each_other():
+    rnd = np.random.default_rng(5)
+    series = [simulated(rnd, n)[0] for n in (900, 400, 60)]
+    together = fc.fit_seasonal(*fc._stacked(series))
+    for k, y in enumerate(series):
+        alone = fc.fit_seasonal(*fc._stacked([y]))
+        assert np.allclose(together[0][k], alone[0][0]) and np.isclose(together[1][k], alone[1][0])
+
+
+def test_bounds_hold_about_95_percent(spark):
+    rnd = np.random.default_rng(9)
+    made = {f"s{k}": simulated(rnd, 1000)[0] for k in range(60)}
+    path = fc.sarima_forecast(frame(spark, {k: y[:-10] for k, y in made.items()}), ["sales"], 10).collect()
+    inside = [r.low <= made[r.sales][-10 + (r.out_date - START).days - 990] <= r.high for r in path]
+    assert len(inside) == 600 and 0.9 < np.mean(inside) < 0.99
+    width = {h: np.mean([r.high - r.low for r in path if (r.out_date - START).days - 990 == h]) for h in (0, 9)}
+    assert width[9] > width[0] > 3
+
+
+def test_a_shifted_series_keeps_its_slopes(spark):
+    rnd = np.random.default_rng(4)
+    y = features(900) @ [5, 2, -1, 0.5, 3] + rnd.normal(size=900)
+    df = frame(spark, {"near": y, "far": y + 1e9})
+    model = {r.sales: r for r in fc.fit_ols(df, ["sales"]).collect()}
+    assert np.allclose(model["far"].coef[1:], model["near"].coef[1:], rtol=1e-5)
+    assert np.isclose(model["far"].coef[0] - model["near"].coef[0], 1e9, rtol=1e-9)
+    assert np.isclose(model["far"].sse, model["near"].sse, rtol=1e-5)
+
+
+def test_moments_do_not_depend_on_the_partitions(spark):
+    rnd = np.random.default_rng(8)
+    df = frame(spark, {"a": rnd.normal(size=700) + 1e6})
+    fits = [fc.fit_ols(df.repartition(n), ["sales"]).first() for n in (1, 16)]
+    assert np.allclose(fits[0].coef, fits[1].coef, rtol=1e-9) and np.isclose(fits[0].sse, fits[1].sse, rtol=1e-9)
+
+
+def test_a_constant_feature_gets_no_weight(spark):
+    y = np.arange(60.0)  # within one year
+    model = fc.fit_ols(frame(spark, {"a": y, "one": [3.0]}), ["sales"])
+    rows = {r.sales: r for r in model.collect()}
+    assert rows["a"].coef[1] == 0 and rows["one"].coef == [3.0, 0, 0, 0, 0] and rows["one"].stderr[0] is None
+
+
+def test_rolling_origins(spark):
+    df = frame(spark, {"a": np.arange(100.0), "b": np.arange(100.0) * 2})
+    last = lambda history, ahead, m: ahead.join(
+        history.groupBy("sales").agg(F.max_by(m, "out_date").alias("prediction")), "sales")
+    origins = ["2020-02-01", "2020-03-01"]
+    got = {(r.sales, str(r.origin)): (r.n_rows, r.mae) for r in fc.rolling_origin(df, ["sales"], ["total_sales"], origins, 3, last).collect()}
+    assert got == {("a", o): (3, 2.0) for o in origins} | {("b", o): (3, 4.0) for o in origins}
+    with pytest.raises(Exception, match="no overlapping data"):
+        fc.rolling_origin(df, ["sales"], ["total_sales"], origins, 3, lambda *a: last(*a).filter("sales = 'a'")).collect()
