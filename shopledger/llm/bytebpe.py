@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 import re
 import sys
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -35,34 +36,36 @@ CHUNK, OVERLAP = 1 << 15, 1 << 8
 #: A pre-token that ends so many code points before the end of a chunk is whole: the longest English ending.
 MARGIN = 3
 #: Pre-tokens a worker remembers at least, and half of those it holds at most.
-REMEMBERED = 200_000
+REMEMBERED = 250_000
 _LOADED: dict[tuple, Pieces] = {}
-_CLASSES: dict[str, str] = {}
+_CLASSES: dict[tuple, str] = {}
+#: Code points below which a text lies: the smaller, the faster its classes are searched.
+LIMITS = (0x80, 0x10000, sys.maxunicode + 1)
 
 
-def character_class(name: str) -> str:
-    r"""The characters of a class such as ``\p{L}``, as ranges: those that tiktoken finds among all code points."""
-    if name not in _CLASSES:
+def character_class(name: str, limit: int = LIMITS[-1]) -> str:
+    r"""The characters of a class such as ``\p{L}`` below a limit, as ranges: those that tiktoken finds."""
+    if (name, limit) not in _CLASSES:
         import tiktoken
 
         probe = tiktoken.Encoding(name, pat_str=name, mergeable_ranks={bytes([b]): b for b in range(256)}, special_tokens={})
-        every = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+        every = [c for c in range(limit) if not 0xD800 <= c < 0xE000]
         found = np.sort(np.frombuffer(bytes(probe.encode_ordinary("".join(map(chr, every)))).decode().encode("utf-32-le"), "<u4").astype(np.int64))
         breaks = np.flatnonzero(np.diff(found) != 1)
         starts, ends = found[np.r_[0, breaks + 1]], found[np.r_[breaks, len(found) - 1]]
-        _CLASSES[name] = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts.tolist(), ends.tolist()))
-    return _CLASSES[name]
+        _CLASSES[name, limit] = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts.tolist(), ends.tolist()))
+    return _CLASSES[name, limit]
 
 
-def pattern_of(text: str) -> re.Pattern:
-    r"""The pattern with ``\p{..}``, ``\s`` and ``\S`` written out, inside and outside of brackets."""
+def pattern_of(text: str, limit: int = LIMITS[-1]) -> re.Pattern:
+    r"""The pattern for texts below a limit, with ``\p{..}``, ``\s`` and ``\S`` written out, inside and outside of brackets."""
     inside, out = False, []
     for part in re.findall(r"\\p\{\w+\}|\\.|.", text, re.S):
         inside = inside and part != "]" or not inside and part == "["
         if part.startswith("\\p") or part == "\\s":
-            out.append(character_class(part) if inside else f"[{character_class(part)}]")
+            out.append(character_class(part, limit) if inside else f"[{character_class(part, limit)}]")
         elif part == "\\S":
-            out.append(f"[^{character_class('\\s')}]")
+            out.append(f"[^{character_class('\\s', limit)}]")
         else:
             out.append(part)
     return re.compile("".join(out))
@@ -83,8 +86,8 @@ class Pieces(dict):
             if (a := get(token[:cut])) is not None and (b := get(token[cut:])) is not None
         }
         self.tokens = {i: t for t, i in self.ranks.items()}
-        self.split = pattern_of(pattern).findall
-        self.ends = pattern_of(pattern).finditer
+        self.bytes = [self.ranks[bytes([b])] for b in range(256)]
+        self.patterns = [pattern_of(pattern, limit) for limit in LIMITS]
         self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -95,9 +98,9 @@ class Pieces(dict):
             if whole is not None:
                 ids = [whole]
             else:
-                parts = [self.ranks[data[k : k + 1]] for k in range(len(data))]
+                parts = list(map(self.bytes.__getitem__, data))
                 ids = merged(parts, self.merges) if len(parts) <= LONG else merged_long(parts, self.merges)
-            found = np.array(ids, "<u4").tobytes()
+            found = little(ids)
         if len(self) >= REMEMBERED:
             self.older = dict(self)
             self.clear()
@@ -105,8 +108,13 @@ class Pieces(dict):
             self[piece] = found
         return found
 
+    def pattern(self, text: str) -> re.Pattern:
+        """The pattern that is enough for the text: UTF-16 is longer than two bytes a sign only beyond the first plane."""
+        plane = 1 if len(text.encode("utf-16-le", "surrogatepass")) == 2 * len(text) else 2
+        return self.patterns[0 if text.isascii() else plane]
+
     def encode(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text))) if text else b""
+        return b"".join(map(self.__getitem__, self.pattern(text).findall(text))) if text else b""
 
     def decode(self, data: bytes | None) -> bytes:
         ids = np.frombuffer(data or b"", "<u4").tolist()
@@ -116,6 +124,13 @@ class Pieces(dict):
             return b"".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
+def little(ids: list[int]) -> bytes:
+    data = array("I", ids)
+    if sys.byteorder == "big":
+        data.byteswap()
+    return data.tobytes()
+
+
 def pieces(path: str, pattern: str) -> Pieces:
     if (path, pattern) not in _LOADED:
         _LOADED[path, pattern] = Pieces(path, pattern)
@@ -127,7 +142,7 @@ def borders(known: Pieces, text: str, chunk: int, overlap: int) -> tuple[list[in
     that don't depend on what follows. Both count from the place they are shared from. A border behind white space is
     left out, as the pattern may have looked beyond it to place the one before."""
     head, tail = [0], []
-    for found in known.ends(text):
+    for found in known.pattern(text).finditer(text):
         end = found.end()
         if text[end - 1].isspace():
             continue
