@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopledger.llm import langid, lines, packing, pii, shingles
+from shopledger.llm import langid, lines, packing, pii, simhash
 from shopledger.llm.common import fresh, prepare, table, with_columns
 from shopledger.session import store
 
@@ -40,10 +40,10 @@ def drop_similar_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (Jaccard index of 0.8 or more of their five-word shingles, directly
-    or through others) stays: the one with the smallest id."""
+    """One document of each group of near duplicates (SimHash of three-word shingles, at most two bits apart, directly or
+    through others) stays: the one with the smallest id."""
     prepare(spark)
-    return shingles.one_of_each(docs)
+    return simhash.one_of_each(docs, size=simhash.SHINGLE, limit=simhash.LIMIT)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
