@@ -7,13 +7,14 @@ finds that window. Partitions pack for themselves: nothing is shuffled, and a lo
 
 Ids come from the byte-level vocabulary in its rank form; they equal those of the tokenizers library for the same
 vocabulary (tests compare them). Nulls and empty texts are documents of the closing id alone. Repeated rows, repeated or null ids are documents of
-their own. An empty table gives no piece. Columns other than the id and the text are not read.
+their own. Runs of white space may be of any length. An empty table gives no piece. Columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
 
 import base64
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shopledger.llm.bytebpe import pieces
 from shopledger.llm.common import slices, table
 
 #: Tokens of a window.
@@ -32,6 +34,8 @@ END_OF_TEXT = "<|endoftext|>"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pieces that are packed together: a task holds so many pieces below a window's length at most.
 GROUP = 16_384
+#: Runs of white space (of Unicode, fixed signs) that are cut out before the library sees the text.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 _LOADED: dict[str, tiktoken.Encoding] = {}
 
 
@@ -47,7 +51,20 @@ def encoding(path: str) -> tiktoken.Encoding:
 
 
 def ids_of(text: str, path: str) -> bytes:
-    """Little-endian 32-bit ids of a text."""
+    """Little-endian 32-bit ids of a text.
+
+    The library's pattern steps back over white space and gives up on very long runs of it, so these are cut out: all of a
+    run but its last sign (or all, at the end of the text) is one piece of the pattern, which is merged for itself.
+    """
+    out, start = [], 0
+    for run in BLANKS.finditer(text):
+        end = run.end() - (run.end() < len(text))
+        out += [plain_ids(text[start : run.start()], path), pieces(path, PATTERN)[text[run.start() : end]]]
+        start = end
+    return b"".join([*out, plain_ids(text[start:], path)])
+
+
+def plain_ids(text: str, path: str) -> bytes:
     return np.array(encoding(path).encode_to_numpy(text, allowed_special="all"), dtype="<u4").tobytes() if text else b""
 
 

@@ -214,3 +214,17 @@ def test_language(spark, odd, empty):
     texts = {r.lang: r.text for r in docs.where("lang in ('en', 'fr')").orderBy(F.desc("doc_id")).limit(200).collect()}
     switched = langid.labeller(model).labels(" ".join(texts["en"].split()[:12] + texts["fr"].split()[:12]))
     assert [x for _, x in switched[1:10]].count("en") >= 8 and [x for _, x in switched[14:23]].count("fr") >= 8
+
+
+@pytest.mark.parametrize("sign", [" ", "\n", "\t", "　"])
+def test_packing_of_a_million_white_spaces(spark, sign):
+    """Ids equal those of the tokenizers library, in the middle, at the start and at the end of a text."""
+    prepare(spark)
+    n = 1_000_000 if sign == " " else 200_000
+    texts = [f"a{sign * n}b", f"{sign * n}", f"{sign * 12_000} x<|endoftext|>\t{sign * 12_000}1", f"a{sign * 9_999} {sign * 10_001}'s"]
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    for text in texts:
+        assert np.frombuffer(packing.ids_of(text, path), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+    df = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    assert packing.pack(df, path).agg(F.max("doc_tokens")).first()[0] == len(library.encode(texts[0], add_special_tokens=False).ids) + 1
