@@ -405,4 +405,6 @@ def op9_suffix(spark, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        # the outcome itself: what stays, as text and as a number of bytes
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("text"), F.length("kept").cast("long").alias("n_kept"),
     )
