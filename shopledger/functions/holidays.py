@@ -30,8 +30,29 @@ def easter_sunday(year: Column) -> Column:
     return F.next_day(full_moon, "Sun")
 
 
-def ontario_holidays(year: Column) -> Column:
-    """``array<struct<holiday_date: date, description: string>>`` of a year."""
+def substitute_days(holidays: Column) -> Column:
+    """The days off that stand for holidays on a Saturday or Sunday, in the order of these.
+
+    Each moves on to the next weekday that is neither a holiday nor a substitute already.
+    """
+    is_weekend = lambda d: F.dayofweek(d).isin(1, 7)
+
+    def moved(taken: Column, holiday: Column) -> Column:
+        after = F.transform(F.sequence(F.lit(1), F.lit(9)), lambda n: F.date_add(holiday["holiday_date"], n))
+        used = lambda d: F.exists(F.concat(holidays, taken), lambda t: t["holiday_date"] == d)
+        free = F.filter(after, lambda d: ~is_weekend(d) & ~used(d))[0]
+        name = F.concat(holiday["description"], F.lit(" (observed)"))
+        return F.concat(taken, F.array(F.struct(free.alias("holiday_date"), name.alias("description"))))
+
+    late = F.array_sort(F.filter(holidays, lambda h: is_weekend(h["holiday_date"])))
+    return F.aggregate(late, F.slice(holidays, 1, 0), moved)
+
+
+def ontario_holidays(year: Column, substitutes: bool = False) -> Column:
+    """``array<struct<holiday_date: date, description: string>>`` of a year.
+
+    ``substitutes`` adds the days observed for holidays on a weekend.
+    """
     # The ten holidays that count for pay.
     rules = [
         ("New Year's Day", _day(year, 1, 1)),
@@ -45,6 +66,7 @@ def ontario_holidays(year: Column) -> Column:
         ("Christmas Day", _day(year, 12, 25)),
         ("Boxing Day", _day(year, 12, 26)),
     ]
-    return F.array(
+    days = F.array(
         *[F.struct(d.alias("holiday_date"), F.lit(name).alias("description")) for name, d in rules]
     )
+    return F.concat(days, substitute_days(days)) if substitutes else days

@@ -145,13 +145,36 @@ def make_ready_rule(process: Column, n_codes: Column, n_styles: Column) -> Colum
     )
 
 
+def by_group_rule(jobs: DataFrame, rows: DataFrame, rule: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The jobs with the ``make_ready`` that a rule gives for each of them.
+
+    The rule gets the rows of all jobs whose keys are known, with all their columns, and returns one row per job with
+    the job's columns and ``make_ready``. A job that it leaves out, gives twice or invents is an error.
+    """
+    known = _all_present(JOB)
+    ruled = rule(rows.filter(known)).groupBy(*JOB).agg(F.count(F.lit(1)).alias("n_ruled"), F.max("make_ready").alias("ruled"))
+    both = jobs.withColumn("n_job", F.lit(1)).join(ruled, JOB, "full")
+    fault = (
+        F.when(known & F.col("n_ruled").isNull(), "gives no make-ready for")
+        .when(F.col("n_job").isNull(), "gives a make-ready for the unknown")
+        .when(F.col("n_ruled") > 1, "gives more than one make-ready for")
+    )
+    error = F.raise_error(F.concat_ws(" ", F.lit("the group rule"), fault, F.lit("job"), F.to_json(F.struct(*JOB)))).cast("bigint")
+    made = F.when(fault.isNotNull(), error).otherwise(F.col("ruled").cast("bigint"))
+    return both.select(*jobs.columns, made.alias("make_ready"))
+
+
 def daily_output(
     output: DataFrame,
     prices: DataFrame,
     make_ready: Callable[[Column, Column, Column], Column] = make_ready_rule,
+    group_rule: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Quantity, make-ready, lines and revenue per process, day and member.
 
+    ``make_ready`` counts a job from its distinct codes and styles; ``group_rule``, if given, from all of its rows (see
+    ``by_group_rule``).
+
     The prices of an (order, product) are summed before they meet the output: a
     price list with duplicates multiplies quantity and revenue as the row join
     would, without its rows.  The first grouping shuffles on all job, code and
@@ -186,9 +209,13 @@ def daily_output(
         F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
     ).select("job.*", "n_codes", "n_styles", "output_qty", "revenue")
     # A job with an unknown product, device or die counts no make-ready.
-    counted = F.when(_all_present(JOB), make_ready(F.col("process"), F.col("n_codes"), F.col("n_styles")))
+    if group_rule is None:
+        counted = F.when(_all_present(JOB), make_ready(F.col("process"), F.col("n_codes"), F.col("n_styles")))
+        jobs = jobs.withColumn("make_ready", counted)
+    else:
+        jobs = by_group_rule(jobs, rows, group_rule)
     devices = jobs.groupBy(*DAY, "device_name").agg(
-        F.sum(counted).alias("make_ready"),
+        F.sum("make_ready").alias("make_ready"),
         F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
     )
     return devices.groupBy(*DAY).agg(

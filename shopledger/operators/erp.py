@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -188,8 +189,8 @@ def late_orders_impact(
     A demand row is late once per partner shipment that left after the due date or
     has no date, and once if there is no shipment.  How many shipments of an
     order left after a given due date is read off a running count over the
-    order's distinct dates. The lines and the dates per order, which are read
-    more than once, are written to the shared folder.
+    order's distinct dates, which are written to the shared folder as they are
+    read more than once.
     """
     keyed = demand.filter(_past_year(F.col("delivery_date"), as_of)).withColumn(
         "order_key", order_key(F.col("p_num"), policy)
@@ -197,7 +198,6 @@ def late_orders_impact(
     lines = keyed.groupBy("order_key", "customer", "product", "delivery_date").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("order_count").cast("long")).alias("qty")
     )
-    lines = store(lines, "order-lines")
     left = shipments.select(
         order_key(F.col("p_num"), policy).alias("order_key"), F.col("out_date").alias("at"),
         F.lit(1).alias("sent"), F.lit(0).alias("asked"),
@@ -336,44 +336,85 @@ def top_priority(scored: DataFrame, n: int) -> DataFrame:
     ).limit(n)
 
 
-def delivery_shipping_status(
-    shipments: DataFrame, plan: DataFrame, as_of: dt.datetime, policy: str = "null"
-) -> DataFrame:
-    """Due and shipping status per order, product, ship date and plan status.
+@dataclass(frozen=True)
+class DeliveryStatus:
+    """Due lines, and per order what was shipped and planned, before they are paired.
 
-    Shipments joined to the shipments and plan rows of the same order; each side
-    is reduced to its own result keys first, so only result rows are produced.
+    An order with many lines, ship dates and plan states has as many pairs as their product; these tables have their
+    sum. ``lines`` answers what is asked per line, ``pairs`` gives the view's rows.
     """
+
+    due: DataFrame
+    sent: DataFrame
+    states: DataFrame
+    as_of: dt.datetime
+
+    def _status(self, due: Column, shipped: Column) -> Column:
+        return (
+            F.when((due < naive(self.as_of)) & ~shipped, "Missed & Not Shipped")
+            .when(_next_days(due, self.as_of, 7) & ~shipped, "Urgent & Not Shipped")
+            .when(shipped, "Shipped")
+            .otherwise("Upcoming & Not Shipped")
+        )
+
+    def pairs(self) -> DataFrame:
+        """One row per due line, plan state and ship date of its order, with the quantities the row join sums up."""
+        n_due, n_sent, n_plan = F.col("n_due"), F.coalesce("n_sent", F.lit(1)), F.coalesce("n_plan", F.lit(1))
+        shipped = F.col("shipped_date")
+        return (
+            self.due.join(self.sent, "order_key", "left").join(self.states, "order_key", "left").select(
+                "p_num", "customer", "product", "delivery_date", "state", "status_des",
+                self._status(F.col("delivery_date"), shipped.isNotNull()).alias("delivery_status"),
+                (F.col("due_count") * n_sent * n_plan).alias("total_order_qty"),
+                (F.col("due_qty") * n_sent * n_plan).alias("out_count"), "shipped_date",
+                (F.col("sent_qty") * n_due * n_plan).alias("shipped_quantity"),
+            )
+        )
+
+    def lines(self) -> DataFrame:
+        """One row per due line with the totals over all its pairs: orders are summed before they meet the lines.
+
+        ``delivery_status`` is that of the line's order as a whole, ``states`` the distinct words of its plan.
+        """
+        sent = self.sent.groupBy("order_key").agg(
+            F.sum("n_sent").alias("n_sent"), F.sum("sent_qty").alias("sent_qty"), F.count("shipped_date").alias("n_ship_dates"),
+            F.min("shipped_date").alias("first_shipped"), F.max("shipped_date").alias("last_shipped"),
+        )
+        word = F.concat_ws("/", F.coalesce("state", F.lit("-")), F.coalesce("status_des", F.lit("-")))
+        planned = self.states.groupBy("order_key").agg(
+            F.sum("n_plan").alias("n_plan"), F.array_join(F.array_sort(F.collect_set(word)), ",").alias("states")
+        )
+        n_sent, n_plan = F.coalesce("n_sent", F.lit(1)), F.coalesce("n_plan", F.lit(1))
+        return self.due.join(sent, "order_key", "left").join(planned, "order_key", "left").select(
+            "p_num", "customer", "product", "delivery_date",
+            self._status(F.col("delivery_date"), F.coalesce(F.col("n_ship_dates") > 0, F.lit(False))).alias("delivery_status"),
+            (F.col("n_due") * n_sent * n_plan).alias("n_pairs"), (F.col("due_count") * n_sent * n_plan).alias("total_order_qty"),
+            (F.col("due_qty") * n_sent * n_plan).alias("out_count"), (F.col("sent_qty") * F.col("n_due") * n_plan).alias("shipped_quantity"),
+            F.coalesce("n_ship_dates", F.lit(0).cast("long")).alias("n_ship_dates"), "first_shipped", "last_shipped", "states",
+        )
+
+
+def delivery_status(shipments: DataFrame, plan: DataFrame, as_of: dt.datetime, policy: str = "null") -> DeliveryStatus:
+    """Due and shipping status of the orders; each side is reduced to its own result keys."""
     key = order_key(F.col("p_num"), policy).alias("order_key")
-    due_rows = shipments.groupBy(key, "p_num", "customer", "product", "delivery_date").agg(
-        F.count(F.lit(1)).alias("n_due"), F.sum("out_count").alias("due_qty")
+    due = shipments.groupBy(key, "p_num", "customer", "product", "delivery_date").agg(
+        F.count(F.lit(1)).alias("n_due"), F.sum("out_count").alias("due_qty"), F.sum("p_count").alias("due_count")
     )
-    sent_rows = (
+    sent = (
         shipments.groupBy(key, F.col("out_date").alias("shipped_date"))
         .agg(F.count(F.lit(1)).alias("n_sent"), F.sum("out_count").alias("sent_qty"))
         .filter(F.col("order_key").isNotNull())
     )
-    plan_rows = (
-        plan.groupBy(order_key(F.col("p_num"), policy).alias("order_key"), "status_des")
+    states = (
+        plan.groupBy(order_key(F.col("p_num"), policy).alias("order_key"), "state", "status_des")
         .agg(F.count(F.lit(1)).alias("n_plan"))
         .filter(F.col("order_key").isNotNull())
     )
-    n_due, n_sent, n_plan = F.col("n_due"), F.coalesce("n_sent", F.lit(1)), F.coalesce("n_plan", F.lit(1))
-    due, shipped = F.col("delivery_date"), F.col("shipped_date")
-    status = (
-        F.when((due < naive(as_of)) & shipped.isNull(), "Missed & Not Shipped")
-        .when(_next_days(due, as_of, 7) & shipped.isNull(), "Urgent & Not Shipped")
-        .when(shipped.isNotNull(), "Shipped")
-        .otherwise("Upcoming & Not Shipped")
-    )
-    return (
-        due_rows.join(sent_rows, "order_key", "left")
-        .join(plan_rows, "order_key", "left")
-        .select(
-            "p_num", "customer", "product", "delivery_date", "status_des",
-            status.alias("delivery_status"), "shipped_date",
-            (F.col("due_qty") * n_sent * n_plan).alias("out_count"),
-            (F.col("sent_qty") * n_due * n_plan).alias("shipped_quantity"),
-        )
-    )
+    return DeliveryStatus(due, sent, states, as_of)
+
 
+def delivery_shipping_status(
+    shipments: DataFrame, plan: DataFrame, as_of: dt.datetime, policy: str = "null"
+) -> DataFrame:
+    """Due and shipping status per order, product, ship date, plan state and plan status."""
+    return delivery_status(shipments, plan, as_of, policy).pairs()

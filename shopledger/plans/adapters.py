@@ -50,7 +50,8 @@ SQL: dict[str, tuple[list[str], str]] = {
         f"""SELECT l_orderkey*10+l_linenumber AS dgn_bil_num, {_P_NUM} AS p_num, l_shipdate AS out_date,
             o_orderdate + INTERVAL '45' DAY AS delivery_date, c_name AS customer, l_partkey AS product_id,
             p_name AS product, p_brand AS parts_name,
-            CASE WHEN l_returnflag='R' THEN 0 ELSE CAST(l_quantity AS INT) END AS out_count
+            CASE WHEN l_returnflag='R' THEN 0 ELSE CAST(l_quantity AS INT) END AS out_count,
+            CAST(l_quantity AS INT)+l_linenumber AS p_count
             {_FULL} WHERE l_linestatus='F'""",
     ),
     "plan": (
@@ -60,6 +61,7 @@ SQL: dict[str, tuple[list[str], str]] = {
             CASE WHEN o_orderstatus='F' THEN CASE WHEN l_linenumber%2=0 THEN 'Completed' ELSE '已完成' END
                  WHEN o_orderstatus='O' THEN 'Producing'
                  WHEN l_linenumber%2=0 THEN 'Pause' ELSE 'Waitting' END AS status_des,
+            CASE WHEN l_linenumber%5>0 THEN o_orderstatus END AS state,
             c_name AS customer, l_partkey AS product_id, p_name AS product_name,
             o_orderdate + INTERVAL '45' DAY AS p_end_time {_FULL}""",
     ),

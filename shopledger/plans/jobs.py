@@ -37,9 +37,9 @@ def paths_by_role(spark: SparkSession, folder: str) -> dict[str, list[str]]:
 
 
 def holiday_table(spark: SparkSession, years: Sequence[int]) -> DataFrame:
-    """The holidays of the given years."""
+    """The holidays of the given years, with the days observed for those on a weekend."""
     rows = spark.range(min(years), max(years) + 1).select(F.col("id").cast("int").alias("year"))
-    return rows.select(F.inline(ontario_holidays(F.col("year"))))
+    return rows.select(F.inline(ontario_holidays(F.col("year"), substitutes=True)))
 
 
 def _typed_prices(raw: DataFrame) -> DataFrame:

@@ -26,6 +26,12 @@ def prices(i: Inputs) -> DataFrame:
     return bo.explode_prices(i.die_price)
 
 
+def long_runs(rows: DataFrame) -> DataFrame:
+    """A make-ready per job, and one more per code of which it made 30 or more."""
+    codes = rows.groupBy(*bo.JOB, "main_product_code").agg(F.sum("output_qty").alias("qty"))
+    return codes.groupBy(*bo.JOB).agg((1 + F.count_if(F.col("qty") >= 30)).alias("make_ready"))
+
+
 def daily(i: Inputs) -> DataFrame:
     # A stored table has a known size, by which Spark chooses the join.
     return bo.daily_output(output(i), i.stored("prices", lambda: prices(i)))
@@ -83,6 +89,8 @@ QUERIES = {
         bo.join_daily_hours(hours(i), sheets(i)), bo.clean_bonus_rate(i.bonus_rate)
     ).select("employee_number", "start_date", "paper_sheets", "gold_rate").dropDuplicates(),
     "make_ready": lambda i: daily(i).select(*bo.DAY, "make_ready"),
+    "make_ready_group_rule": lambda i: bo.daily_output(output(i), i.stored("prices", lambda: prices(i)), group_rule=long_runs).select(
+        *bo.DAY, "make_ready"),
     "number_of_lines": lambda i: daily(i).select(*bo.DAY, "number_of_lines"),
     "output_rollup": daily,
     "join_right": lambda i: bo.join_output_hours(hours(i), daily(i)),
@@ -229,6 +237,12 @@ ORACLES = {
     "sheeting_bonus": f"{_W_HOURS}{_SHEETING} SELECT * FROM sheet_bonus",
     "dedup_rows": f"""{_W_HOURS}{_SHEETS} SELECT DISTINCT w.employee_number, w.start_date, s.paper_sheets, r.gold_rate
   FROM {_SHEET_JOIN} {_RATE_JOIN}""",
+    "make_ready_group_rule": f"""{_W_OUT}{_OUTPUT}, codes AS (SELECT process, shift_date, member_id, product, device_name, die_number,
+    main_product_code, sum(output_qty) AS qty FROM labelled GROUP BY ALL),
+jobs AS (SELECT process, shift_date, member_id, device_name, CASE WHEN product IS NOT NULL AND device_name IS NOT NULL AND die_number IS NOT NULL
+    THEN 1+count(*) FILTER (qty >= 30) END AS make_ready FROM codes WHERE process IS NOT NULL AND shift_date IS NOT NULL AND member_id IS NOT NULL
+  GROUP BY process, shift_date, member_id, product, device_name, die_number)
+SELECT process, shift_date, member_id, CAST(coalesce(sum(make_ready), 0) AS BIGINT) AS make_ready FROM jobs GROUP BY 1, 2, 3""",
     "make_ready": f"{_W_OUT}{_DAILY} SELECT process, shift_date, member_id, make_ready FROM daily",
     "number_of_lines": f"{_W_OUT}{_DAILY} SELECT process, shift_date, member_id, number_of_lines FROM daily",
     "output_rollup": f"{_W_OUT}{_DAILY} SELECT * FROM daily",

@@ -29,6 +29,7 @@ QUERIES = {
     "priority_urgency": lambda i: erp.priority_urgency(i.plan, i.shipments, AS_OF),
     "top_priority": lambda i: erp.top_priority(erp.priority_urgency(i.plan, i.shipments, AS_OF), 100),
     "delivery_shipping_status": lambda i: erp.delivery_shipping_status(i.shipments, i.plan, AS_OF),
+    "delivery_status_lines": lambda i: erp.delivery_status(i.shipments, i.plan, AS_OF).lines(),
 }
 
 _PRIORITY = f"""
@@ -104,12 +105,23 @@ SELECT * FROM scored ORDER BY priority_score DESC, delivery_date ASC NULLS FIRST
   customer ASC NULLS FIRST, product ASC NULLS FIRST, total_order_qty DESC NULLS LAST,
   work_order_status ASC NULLS FIRST, shipped_date ASC NULLS FIRST, product_count ASC NULLS FIRST LIMIT 100""",
     "delivery_shipping_status": f"""WITH {ctes('plan', 'shipments')}, keyed AS {_SHIP_KEY.format('shipments')}
-SELECT d.p_num, d.customer, d.product, d.delivery_date, a.status_des,
+SELECT d.p_num, d.customer, d.product, d.delivery_date, a.state, a.status_des,
   CASE WHEN d.delivery_date < {NOW} AND s.out_date IS NULL THEN 'Missed & Not Shipped'
        WHEN d.delivery_date BETWEEN {NOW} AND {NOW} + INTERVAL '7' DAY AND s.out_date IS NULL THEN 'Urgent & Not Shipped'
        WHEN s.out_date IS NOT NULL THEN 'Shipped' ELSE 'Upcoming & Not Shipped' END AS delivery_status,
-  s.out_date AS shipped_date, CAST(sum(d.out_count) AS BIGINT) AS out_count,
+  CAST(sum(d.p_count) AS BIGINT) AS total_order_qty, s.out_date AS shipped_date, CAST(sum(d.out_count) AS BIGINT) AS out_count,
   CAST(sum(s.out_count) AS BIGINT) AS shipped_quantity
 FROM keyed d LEFT JOIN keyed s ON d.k=s.k LEFT JOIN {_SHIP_KEY.format('plan')} a ON a.k=s.k
-GROUP BY 1,2,3,4,5,6,7""",
+GROUP BY 1,2,3,4,5,6,7,9""",
+    "delivery_status_lines": f"""WITH {ctes('plan', 'shipments')}, keyed AS {_SHIP_KEY.format('shipments')},
+pairs AS (SELECT d.p_num, d.customer, d.product, d.delivery_date, d.p_count, d.out_count, s.out_date, s.out_count AS sent, a.k IS NOT NULL AS planned,
+    coalesce(a.state, '-')||'/'||coalesce(a.status_des, '-') AS state
+  FROM keyed d LEFT JOIN keyed s ON d.k=s.k LEFT JOIN {_SHIP_KEY.format('plan')} a ON a.k=s.k)
+SELECT p_num, customer, product, delivery_date, CASE WHEN delivery_date < {NOW} AND count(out_date)=0 THEN 'Missed & Not Shipped'
+    WHEN delivery_date BETWEEN {NOW} AND {NOW} + INTERVAL '7' DAY AND count(out_date)=0 THEN 'Urgent & Not Shipped'
+    WHEN count(out_date)>0 THEN 'Shipped' ELSE 'Upcoming & Not Shipped' END AS delivery_status,
+  count(*) AS n_pairs, CAST(sum(p_count) AS BIGINT) AS total_order_qty, CAST(sum(out_count) AS BIGINT) AS out_count,
+  CAST(sum(sent) AS BIGINT) AS shipped_quantity, count(DISTINCT out_date) AS n_ship_dates, min(out_date) AS first_shipped,
+  max(out_date) AS last_shipped, string_agg(DISTINCT state, ',' ORDER BY state) FILTER (planned) AS states
+FROM pairs GROUP BY 1,2,3,4""",
 }

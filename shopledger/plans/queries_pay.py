@@ -52,7 +52,23 @@ def holiday_dim(i: Inputs) -> DataFrame:
     return _years(i).select("year", F.inline(ontario_holidays(F.col("year"))))
 
 
+def calendar(i: Inputs) -> DataFrame:
+    """The holidays, observed days included, of the years of the time sheets and of the year before."""
+    years = sheet(i).select(F.explode(F.array(F.year("start_ts"), F.year("start_ts") - 1)).alias("year")).distinct()
+    return years.select(F.inline(ontario_holidays(F.col("year"), substitutes=True)))
+
+
+def calendar_pay(i: Inputs) -> DataFrame:
+    """Holiday pay by the computed calendar."""
+    days = i.stored("calendar", lambda: calendar(i))
+    paid_base = pr.pay_base(sheet(i), i.payrate, days, PAY_START, PERIODS)
+    return rounded(pr.holiday_pay(paid_base, sheet(i), days, PAY_START, PERIODS), "holiday_pay")
+
+
 QUERIES = {
+    "holiday_observed": lambda i: _years(i).select("year", F.inline(ontario_holidays(F.col("year"), substitutes=True))).filter(
+        F.col("description").endswith("(observed)")),
+    "holiday_pay_calendar": calendar_pay,
     "employee_totals": lambda i: rounded(totals(i), "total_hours"),
     "period_filter": lambda i: pr.sheet_in_periods(i.timesheet, PAY_START, 1),
     "payrate_join": lambda i: rounded(pr.join_rates(totals(i), i.payrate), "total_hours"),
@@ -154,29 +170,43 @@ def _r(*cols: str) -> str:
     return ", ".join(f"round({c}, 4) AS {c}" for c in cols)
 
 
-ORACLES = {
-    "employee_totals": f"{_INPUTS}{_TOTALS} SELECT * REPLACE ({_r('total_hours')}) FROM totals",
-    "period_filter": f"""WITH {ctes('timesheet')} SELECT *, CAST(start_ts AS DATE) AS start_date, CAST(0 AS INT) AS period
-  FROM timesheet WHERE CAST(start_ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-14'""",
-    "payrate_join": f"""{_INPUTS}{_TOTALS} SELECT t.* REPLACE ({_r('total_hours')}), r.* EXCLUDE (employee_id)
-  FROM totals t LEFT JOIN payrate r ON r.employee_id=t.employee_number""",
-    "unmatched_employees": f"""{_INPUTS}{_TOTALS} SELECT employee_number, period, first_name, last_name FROM totals
-  WHERE employee_number NOT IN (SELECT employee_id FROM payrate WHERE reg_rate IS NOT NULL)""",
-    "holiday_dim": """WITH years AS (SELECT DISTINCT CAST(year(ts) AS INT) AS y FROM events
-    UNION SELECT CAST(year(o_orderdate) AS INT) FROM orders),
-days AS (SELECT y, CAST(unnest(generate_series(make_date(y,1,1), make_date(y,12,31), INTERVAL 1 DAY)) AS DATE) AS d FROM years),
+_YEARS = """years AS (SELECT DISTINCT CAST(year(ts) AS INT) AS y FROM events
+    UNION SELECT CAST(year(o_orderdate) AS INT) FROM orders)"""
+_CALENDAR = """days AS (SELECT y, CAST(unnest(generate_series(make_date(y,1,1), make_date(y,12,31), INTERVAL 1 DAY)) AS DATE) AS d FROM years),
 parts AS (SELECT *, month(d) AS m, day(d) AS dd, isodow(d) AS w FROM days),
 e1 AS (SELECT y, y%19 AS a, y//100 AS b, y%100 AS c FROM years),
 e2 AS (SELECT y, a, (19*a+b-b//4-(b-(b+8)//25+1)//3+15)%30 AS h, b, c FROM e1),
 e3 AS (SELECT y, a, h, (32+2*(b%4)+2*(c//4)-h-c%4)%7 AS l FROM e2),
 e4 AS (SELECT y, h+l-7*((a+11*h+22*l)//451)+114 AS n FROM e3),
-easter AS (SELECT y, make_date(CAST(y AS BIGINT), CAST(n//31 AS BIGINT), CAST(n%31+1 AS BIGINT)) AS e FROM e4)
-SELECT y AS year, d AS holiday_date, CASE WHEN m=1 THEN 'New Year''s Day' WHEN m=2 THEN 'Family Day'
+easter AS (SELECT y, make_date(CAST(y AS BIGINT), CAST(n//31 AS BIGINT), CAST(n%31+1 AS BIGINT)) AS e FROM e4),
+fixed AS (SELECT y AS year, d AS holiday_date, CASE WHEN m=1 THEN 'New Year''s Day' WHEN m=2 THEN 'Family Day'
   WHEN d=e-2 THEN 'Good Friday' WHEN m=5 THEN 'Victoria Day' WHEN m=7 THEN 'Canada Day' WHEN m=8 THEN 'Civic Holiday'
   WHEN m=9 THEN 'Labour Day' WHEN m=10 THEN 'Thanksgiving' WHEN dd=25 THEN 'Christmas Day' ELSE 'Boxing Day' END AS description
 FROM parts JOIN easter USING (y) WHERE (m=1 AND dd=1) OR (m=2 AND w=1 AND dd BETWEEN 15 AND 21) OR d=e-2
   OR (m=5 AND w=1 AND dd BETWEEN 18 AND 24) OR (m=7 AND dd=1) OR (m IN (8,9) AND w=1 AND dd<=7)
-  OR (m=10 AND w=1 AND dd BETWEEN 8 AND 14) OR (m=12 AND dd IN (25,26))""",
+  OR (m=10 AND w=1 AND dd BETWEEN 8 AND 14) OR (m=12 AND dd IN (25,26)))"""
+# The four holidays of a fixed date, by the weekday they fall on.
+_OBSERVED = """observed AS (SELECT y AS year, CASE name WHEN 'New Year''s Day' THEN make_date(y, 1, CASE isodow(make_date(y, 1, 1)) WHEN 6 THEN 3 ELSE 2 END)
+    WHEN 'Canada Day' THEN make_date(y, 7, CASE isodow(make_date(y, 7, 1)) WHEN 6 THEN 3 ELSE 2 END)
+    WHEN 'Christmas Day' THEN make_date(y, 12, 27) ELSE make_date(y, 12, 28) END AS holiday_date, name||' (observed)' AS description
+  FROM (SELECT y, unnest(['New Year''s Day', 'Canada Day', 'Christmas Day', 'Boxing Day']) AS name FROM years)
+  WHERE isodow(CASE name WHEN 'New Year''s Day' THEN make_date(y, 1, 1) WHEN 'Canada Day' THEN make_date(y, 7, 1)
+    WHEN 'Christmas Day' THEN make_date(y, 12, 25) ELSE make_date(y, 12, 26) END) >= 6)"""
+
+ORACLES = {
+    "employee_totals": f"{_INPUTS}{_TOTALS} SELECT * REPLACE ({_r('total_hours')}) FROM totals",
+    "period_filter": f"""WITH {ctes('timesheet')} SELECT *, CAST(start_ts AS DATE) AS start_date, CAST(0 AS INT) AS period
+  FROM timesheet WHERE CAST(start_ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-14'""",
+    "payrate_join": f"""{_INPUTS}{_TOTALS} SELECT t.* REPLACE ({_r('total_hours')}), r.* EXCLUDE (employee_id)
+  FROM totals t LEFT JOIN payrate r ON r.employee_id=t.employee_number""",
+    "unmatched_employees": f"""{_INPUTS}{_TOTALS} SELECT employee_number, period, first_name, last_name FROM totals
+  WHERE employee_number NOT IN (SELECT employee_id FROM payrate WHERE reg_rate IS NOT NULL)""",
+    "holiday_dim": f"WITH {_YEARS},\n{_CALENDAR} SELECT * FROM fixed",
+    "holiday_observed": f"WITH {_YEARS},\n{_CALENDAR}, {_OBSERVED} SELECT * FROM observed",
+    "holiday_pay_calendar": f"""WITH {ctes('timesheet', 'schedule', 'payrate')}, years AS (SELECT DISTINCT
+    CAST(unnest([year(start_ts), year(start_ts)-1]) AS INT) AS y FROM timesheet), {_CALENDAR}, {_OBSERVED},
+holidays AS (SELECT holiday_date, description FROM fixed UNION ALL SELECT holiday_date, description FROM observed),
+{_CHAIN}{_BASE}{_HOLIDAY} SELECT employee_number, period, holiday_date, {_r('holiday_pay')} FROM hpay""",
     "holiday_in_period": f"{_INPUTS}{_BASE} SELECT employee_number, period, has_holiday, had_holiday FROM base",
     "rolling_period_hours": f"{_INPUTS}{_BASE} SELECT employee_number, period, {_r('rolling_hours')} FROM base",
     "pay_basis": f"""WITH {ctes('payrate')} SELECT employee_id, CASE WHEN lower(pay_basis) LIKE '%daily%' THEN 'daily'

@@ -4,6 +4,7 @@ import random
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shopledger.operators import erp
 
@@ -11,10 +12,10 @@ NOW = dt.datetime(2000, 1, 1, 12)
 DEMAND = "dgn_bil_id bigint, p_num string, delivery_date timestamp_ntz, customer string, product_id bigint, product string, order_count int"
 SHIP = (
     "dgn_bil_num bigint, p_num string, out_date timestamp_ntz, delivery_date timestamp_ntz, customer string, "
-    "product_id bigint, product string, parts_name string, out_count int"
+    "product_id bigint, product string, parts_name string, out_count int, p_count int"
 )
 PLAN = (
-    "p_num string, js_name string, dev_name string, f_time int, p_count int, status_des string, customer string, "
+    "p_num string, js_name string, dev_name string, f_time int, p_count int, status_des string, state string, customer string, "
     "product_id bigint, product_name string, p_end_time timestamp_ntz"
 )
 
@@ -34,9 +35,9 @@ def rows(seed=3, n=60):
         return rnd.choice(xs)
 
     demand = [(rnd.randint(1, 20), number(), day(), some("c1", "c2", " ", None), some(1, 2, None), some("x", "y"), some(1, 5, None)) for _ in range(n)]
-    ship = [(rnd.randint(1, 20), number(), day(), day(), some("c1", "c2"), some(1, 2, None), some("x", "y"), some("p", None), some(0, 3, None)) for _ in range(n)]
+    ship = [(rnd.randint(1, 20), number(), day(), day(), some("c1", "c2"), some(1, 2, None), some("x", "y"), some("p", None), some(0, 3, None), some(2, None)) for _ in range(n)]
     plan = [(number(), some("j1", "j2"), some("d1", "d2"), some(7, 8, None), some(1, 2, None),
-             some("Producing", "Pause", "Waitting", "Completed", "已完成", None), some("c1", "c2"), some(1, 2, None), some("x", "y"), day()) for _ in range(n)]
+             some("Producing", "Pause", "Waitting", "Completed", "已完成", None), some("F", "O", None), some("c1", "c2"), some(1, 2, None), some("x", "y"), day()) for _ in range(n)]
     return demand, ship, plan
 
 
@@ -101,14 +102,35 @@ def test_counted_joins_equal_row_joins(tables, policy):
             WHEN delivery_date BETWEEN {T} AND {T} + INTERVAL 7 DAY AND (shipped_date IS NULL OR shipped_date > delivery_date) THEN 80
             WHEN work_order_status='Producing' THEN 60 WHEN work_order_status IN ('Waitting','Pause') THEN 40 ELSE 20 END AS priority_score
         FROM o WHERE work_order_status NOT IN ('Completed','已完成')""")
+    pairs = f"""(SELECT d.p_num, d.customer, d.product, d.delivery_date, a.state, a.status_des, a.k AS planned, d.p_count, d.out_count,
+          s.out_date, s.out_count AS sent
+        FROM {keyed['shipments']} d LEFT JOIN {keyed['shipments']} s ON d.k=s.k LEFT JOIN {keyed['plan']} a ON a.k=s.k)"""
+    status = f"""CASE WHEN delivery_date < {T} AND {{0}} THEN 'Missed & Not Shipped'
+            WHEN delivery_date BETWEEN {T} AND {T} + INTERVAL 7 DAY AND {{0}} THEN 'Urgent & Not Shipped'
+            WHEN NOT {{0}} THEN 'Shipped' ELSE 'Upcoming & Not Shipped' END AS delivery_status"""
     same(erp.delivery_shipping_status(f["shipments"], f["plan"], NOW, policy), con, f"""
-        SELECT d.p_num, d.customer, d.product, d.delivery_date, a.status_des, s.out_date AS shipped_date,
-          CASE WHEN d.delivery_date < {T} AND s.out_date IS NULL THEN 'Missed & Not Shipped'
-            WHEN d.delivery_date BETWEEN {T} AND {T} + INTERVAL 7 DAY AND s.out_date IS NULL THEN 'Urgent & Not Shipped'
-            WHEN s.out_date IS NOT NULL THEN 'Shipped' ELSE 'Upcoming & Not Shipped' END AS delivery_status,
-          sum(d.out_count)::BIGINT AS out_count, sum(s.out_count)::BIGINT AS shipped_quantity
-        FROM {keyed['shipments']} d LEFT JOIN {keyed['shipments']} s ON d.k=s.k LEFT JOIN {keyed['plan']} a ON a.k=s.k
-        GROUP BY 1,2,3,4,5,6,7""")
+        SELECT p_num, customer, product, delivery_date, state, status_des, {status.format('(out_date IS NULL)')}, sum(p_count)::BIGINT AS total_order_qty,
+          sum(out_count)::BIGINT AS out_count, out_date AS shipped_date, sum(sent)::BIGINT AS shipped_quantity
+        FROM {pairs} GROUP BY 1,2,3,4,5,6,7,10""")
+    same(erp.delivery_status(f["shipments"], f["plan"], NOW, policy).lines(), con, f"""
+        SELECT p_num, customer, product, delivery_date, {status.format('(count(out_date)=0)')}, count(*) AS n_pairs, sum(p_count)::BIGINT AS total_order_qty,
+          sum(out_count)::BIGINT AS out_count, sum(sent)::BIGINT AS shipped_quantity, count(DISTINCT out_date) AS n_ship_dates,
+          min(out_date) AS first_shipped, max(out_date) AS last_shipped,
+          string_agg(DISTINCT coalesce(state, '-')||'/'||coalesce(status_des, '-'), ',' ORDER BY coalesce(state, '-')||'/'||coalesce(status_des, '-'))
+            FILTER (planned IS NOT NULL) AS states
+        FROM {pairs} GROUP BY 1,2,3,4""")
+
+
+def test_a_hot_order_stays_linear(spark):
+    """One order of 20,000 lines on as many dates would have 400 million pairs; its lines are 20,000 rows."""
+    n = 20_000
+    at = F.timestamp_add("MINUTE", F.col("id"), F.lit(NOW).cast("timestamp_ntz"))
+    ship = spark.range(n).select(
+        F.lit("HOT").alias("p_num"), at.alias("out_date"), at.alias("delivery_date"), F.lit("c").alias("customer"),
+        F.col("id").cast("string").alias("product"), F.lit(1).alias("out_count"), F.lit(2).alias("p_count"))
+    plan = spark.range(n).select(F.lit("HOT").alias("p_num"), F.lit("F").alias("state"), F.lit("Pause").alias("status_des"))
+    row = erp.delivery_status(ship, plan, NOW).lines().agg(F.count("*"), F.min("n_pairs"), F.min("shipped_quantity"), F.max("states")).first()
+    assert tuple(row) == (n, n * n, n * n, "F/Pause")
 
 
 def test_open_deliveries(tables):
