@@ -47,10 +47,11 @@ def drop_all_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def forward_fill(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | Sequence[Column], cols: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column | Sequence[Column], cols: Sequence[str],
+    deep: bool = False,
 ) -> DataFrame:
-    """Each null takes the last non-null value above it, in file order."""
-    filled = neighbours(df, keys, order, bucket, fill={f"__filled_{c}": c for c in cols})
+    """Each null takes the last non-null value above it, in file order (``deep``: see ``neighbours``)."""
+    filled = neighbours(df, keys, order, bucket, fill={f"__filled_{c}": c for c in cols}, deep=deep)
     return filled.select(*[F.col(f"__filled_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 

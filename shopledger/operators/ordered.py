@@ -21,6 +21,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopledger.session import store
+
 _BUCKET = "__bucket"
 
 
@@ -44,12 +46,18 @@ def neighbours(
     lead: Mapping[str, str] | None = None,
     running: Mapping[str, Column] | None = None,
     fill: Mapping[str, str] | None = None,
+    deep: bool = False,
 ) -> DataFrame:
     """Add lag / lead / running-sum / forward-fill columns per key.
 
     ``lag`` and ``lead`` map new column -> source column, ``running`` maps new
     column -> summed expression (inclusive), ``fill`` maps new column -> column
     whose last non-null value up to the row is wanted.
+
+    ``deep`` is for keys with very many buckets: the buckets' own rows are
+    carried on in buckets of all but the last of the bucket columns, and so on,
+    so that a task sees no more of a key than the values of the first. Not with
+    ``lead``.
     """
     lag, lead, running, fill = dict(lag or {}), dict(lead or {}), dict(running or {}), dict(fill or {})
     keys, order = list(keys), list(order)
@@ -68,16 +76,10 @@ def neighbours(
     ]
     edges = rows.groupBy(*on).agg(*aggs)
 
-    across = Window.partitionBy(*keys).orderBy(*bcols)
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [F.col(c) for c in on]
-    if lag:
-        carried.append(F.lag("__last").over(across).alias("__last"))
-    if lead:
-        carried.append(F.lead("__first").over(across).alias("__first"))
-    carried += [F.sum(f"__sum_{n}").over(before).alias(f"__sum_{n}") for n in running]
-    carried += [F.last(f"__fill_{n}", ignorenulls=True).over(before).alias(f"__fill_{n}") for n in fill]
-    edges = edges.select(*carried)
+    if deep and len(bcols) > 1:
+        edges = _carried_deep(edges, keys, bcols, lag, running, fill)
+    else:
+        edges = _carried(edges, keys, bcols, lag, lead, running, fill)
 
     inside = Window.partitionBy(*on).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -104,6 +106,39 @@ def neighbours(
     return out.select(*[F.col(c) for c in df.columns], *[e.alias(n) for n, e in final.items()])
 
 
+def _carried(edges: DataFrame, keys: list[str], bcols: list[str], lag: dict, lead: dict, running: dict, fill: dict) -> DataFrame:
+    """What each bucket takes over from those before it (and from the one behind it), by a window over the key's buckets."""
+    across = Window.partitionBy(*keys).orderBy(*bcols)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    carried = [F.col(c) for c in (*keys, *bcols)]
+    if lag:
+        carried.append(F.lag("__last").over(across).alias("__last"))
+    if lead:
+        carried.append(F.lead("__first").over(across).alias("__first"))
+    carried += [F.sum(f"__sum_{n}").over(before).alias(f"__sum_{n}") for n in running]
+    carried += [F.last(f"__fill_{n}", ignorenulls=True).over(before).alias(f"__fill_{n}") for n in fill]
+    return edges.select(*carried)
+
+
+def _carried_deep(edges: DataFrame, keys: list[str], bcols: list[str], lag: dict, running: dict, fill: dict) -> DataFrame:
+    """The same in levels: each bucket gets the row of the one before, and these are summed and filled like rows."""
+    wider = [F.col(c) for c in bcols[:-1]]
+    sums, fills = [f"__sum_{n}" for n in running], [f"__fill_{n}" for n in fill]
+    names = [*(["__last"] if lag else []), *sums, *fills]
+    plain = {c: f"__own{k}" for k, c in enumerate(names)}  # names that the steps below don't use themselves
+    # read several times on every level, and small: one row per bucket
+    edges = store(edges.withColumnsRenamed(plain), "edges")
+    shifted = neighbours(edges, keys, bcols, wider, lag={f"__from{plain[c]}": plain[c] for c in names}, deep=True)
+    shifted = store(shifted.drop(*plain.values()), "edges")
+    before = lambda c: F.col(f"__from{plain[c]}")
+    carried = shifted if not sums + fills else neighbours(
+        shifted, keys, bcols, wider, running={f"__until{plain[c]}": F.coalesce(before(c), F.lit(0)) for c in sums},
+        fill={f"__until{plain[c]}": f"__from{plain[c]}" for c in fills}, deep=True,
+    )
+    until = [F.col(f"__until{plain[c]}").alias(c) for c in (*sums, *fills)]
+    return carried.select(*keys, *bcols, *([before("__last").alias("__last")] if lag else []), *until)
+
+
 Cell = Callable[[str], Column]
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopledger.functions.clock import date_parts, weekday_name
+from shopledger.session import store
 
 MEASURES = ["out_count_total", "total_sales", "total_sales_local_price"]
 
@@ -40,12 +41,10 @@ def year_split(df: DataFrame, last_train_year: int, date: str = "out_date") -> D
 
 
 def _daily(sales: DataFrame, measures: Sequence[str], category: str | None = "sales") -> DataFrame:
+    """Sums per day and category (rows without one together); rows without a date are left out."""
     day = F.to_date("out_date").alias("out_date")
-    keyed = sales.filter(F.col("out_date").isNotNull())
-    if category:
-        keyed = keyed.filter(F.col(category).isNotNull())
     keys = [day, F.col(category)] if category else [day]
-    return keyed.groupBy(*keys).agg(*[_sum(m) for m in measures])
+    return sales.filter(F.col("out_date").isNotNull()).groupBy(*keys).agg(*[_sum(m) for m in measures])
 
 
 def daily_total(sales: DataFrame) -> DataFrame:
@@ -57,11 +56,13 @@ def dense_by_category(
 ) -> DataFrame:
     """Sums per day and category, every category on every day of the table.
 
-    The days come as one array - a calendar, so a few thousand values however
-    large the table - and each category explodes it.
+    The sales are grouped once; the sums, a row per day and category, are written to the shared folder, and the days and
+    categories come from there. The days are one array - a calendar, so a few thousand values however large the table -
+    and each category explodes it.
     """
-    sums = _daily(sales, measures, category)
-    days = sales.filter(F.col("out_date").isNotNull()).agg(F.collect_set(F.to_date("out_date"))).scalar()
+    every = store(_daily(sales, measures, category), "daily-sums")
+    sums = every.filter(F.col(category).isNotNull())
+    days = every.agg(F.collect_set("out_date")).scalar()
     grid = sums.select(category).distinct().withColumn("out_date", F.explode(days))
     return grid.join(sums, [category, "out_date"], "left").fillna(0.0, list(measures))
 

@@ -138,7 +138,7 @@ def run_payroll(
         "unmatched": payroll.unmatched_employees(paid).select("employee_number", "period_start"),
         **{k: v for k, v in steps.items() if k != "timesheet"},
     }
-    fs.write_reports(reports, out, {"detail": ["employee_number"]})
+    fs.write_reports(reports, out, {"detail": ["period_start", "employee_number"]})
     return reports
 
 

@@ -142,6 +142,21 @@ def rejected_records(i: Inputs) -> DataFrame:
         named(read.rows, F.lit("read")).agg(F.count("*").alias("n")))
 
 
+def landed_files(i: Inputs) -> DataFrame:
+    """Two drops, the second with a report of the first under another name; every row of a report is there once."""
+    landing = new_folder(i.spark, "landing")
+    rates = i.bonus_rate.coalesce(1).sortWithinPartitions(*i.bonus_rate.columns)
+    for names in (["Bonus rate.csv"], ["Bonus copy.csv", "Bonus east.csv"]):
+        folder = new_folder(i.spark, "drop")
+        for name in names:
+            fs.write_csv(rates.filter("location = 'East'") if "east" in name else rates, f"{folder}/{name}", schemas.BONUS_RATE)
+        fs.land(i.spark, folder, landing)
+    rows = fs.read_landed(i.spark, landing, schemas.BONUS_RATE, ["employee_number", "location"]).rows
+    files = fs.landed(i.spark, landing).select("drop", "file_name", F.col("path").alias("file_path"))
+    return rows.join(files, "file_path").groupBy("drop", "file_name").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("employee_number").alias("n_employees"))
+
+
 def route_files(i: Inputs) -> DataFrame:
     folder = new_folder(i.spark, "drop")
     fs.write_csv(i.bonus_rate, f"{folder}/a/Operator Bonus Rate.csv", schemas.BONUS_RATE)
@@ -212,6 +227,7 @@ QUERIES = {
     "load_union": load_union,
     "safe_read": safe_read,
     "rejected_records": rejected_records,
+    "landed_files": landed_files,
     "load_timesheets": load_timesheets,
     "load_schedules": lambda i: fs.load_schedules(i.spark, drop_schedules(i)),
     "file_department": lambda i: load_timesheets(i).groupBy("department").agg(F.count(F.lit(1)).alias("n_rows")),
@@ -247,7 +263,8 @@ QUERIES = {
              "employee_number": F.when(F.col("is_first"), F.col("employee_number"))}
         ).drop("is_first"),
         ["department"], ["sort_key", "start_ts", "end_ts", "job"],
-        [F.col("sort_key"), F.date_trunc("month", "start_ts")], ["employee_number"],
+        # a department's employees come in ranges, each employee's rows in months
+        [F.substring("sort_key", 1, 4), F.col("sort_key"), F.date_trunc("month", "start_ts")], ["employee_number"], deep=True,
     ),
     "industry_mismatch": lambda i: cl.industry_mismatch(
         i.table("customer").select(F.col("c_name").alias("company_name"), F.col("c_mktsegment").alias("industry")),
@@ -292,6 +309,9 @@ UNION ALL SELECT 'die_price', 'Die Price.csv', count(*) FROM die_price""",
     "load_union": qb.ORACLES["operator_output_clean"],
     "safe_read": f"""WITH {ctes('bonus_rate')} SELECT employee_number, machine, CAST(silver_rate AS VARCHAR) AS silver_rate
   FROM bonus_rate""",
+    "landed_files": f"""WITH {ctes('bonus_rate')}
+SELECT CAST(1 AS INT) AS drop, 'Bonus rate.csv' AS file_name, count(*) AS n_rows, count(DISTINCT employee_number) AS n_employees FROM bonus_rate
+UNION ALL SELECT CAST(2 AS INT), 'Bonus east.csv', count(*), count(DISTINCT employee_number) FROM bonus_rate WHERE location='East' HAVING count(*) > 0""",
     "rejected_records": f"""WITH {ctes('bonus_rate')}, kinds AS (
   SELECT CAST(substr(employee_number, 3) AS INT) % 5 AS kind FROM bonus_rate)
 SELECT 'Bonus rate.csv' AS file_name, CASE kind WHEN 0 THEN 'broken quotes' WHEN 1 THEN 'more cells than the header' ELSE 'read' END AS reason,

@@ -75,7 +75,7 @@ def existing(spark: SparkSession, paths: Iterable[str]) -> list[str]:
 QUOTED = r'"(?:[^"\\]|\\.|""|\\)*"'
 CELL = f",(?:{QUOTED}(?=,|$)|[^,]*)"
 PLACE = ["file_path", "file_block", "row_id"]
-LINE_FIELDS = "file_path string, file_block bigint, row_id bigint, cells array<string>, raw string, broken string"
+LANDED = "path string, file_name string, length bigint, sha256 string, content binary"
 REJECTED = "file_path string, reason string, line string"
 
 
@@ -99,19 +99,27 @@ def _cells(value: Column) -> tuple[Column, Column]:
     return cells, broken
 
 
-def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All lines of the files, parsed and written once: whatever is asked of them later reads what was written."""
-    text = (
-        spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("recursiveFileLookup", True).text(paths)
-        .select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("file_block"),
-                F.monotonically_increasing_id().alias("row_id"))
-        .filter(F.trim("value") != "")
-    )
+def parsed_lines(text: DataFrame, spoiled: Column | None = None) -> DataFrame:
+    """Lines (file_path, file_block, row_id, value) in cells, written once: whatever is asked of them later reads that.
+
+    ``spoiled`` says which lines have lost bytes that were no UTF-8.
+    """
     cells, broken = _cells(F.col("value"))
-    parsed = text.select(*PLACE, cells.alias("cells"), "value", broken.alias("broken"))
+    if spoiled is not None:
+        broken = F.when(spoiled, "not UTF-8").otherwise(broken)
+    parsed = text.filter(F.trim("value") != "").select(*PLACE, cells.alias("cells"), "value", broken.alias("broken"))
     return store(parsed.select(*PLACE, "cells", F.when(F.col("broken").isNotNull(), F.col("value")).alias("raw"), "broken"), "lines")
 
 
+def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """All lines of the files."""
+    text = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).option("recursiveFileLookup", True).text(paths)
+    return parsed_lines(text.select(
+        "value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("file_block"),
+        F.monotonically_increasing_id().alias("row_id"),
+    ))
+
+
 def read_records(
     spark: SparkSession, paths: str | Iterable[str], layout: dict[str, str], columns: Iterable[str] | None = None,
     skip_rows: int = 0, strict: bool = False,
@@ -134,7 +142,15 @@ def read_records(
         fields = [T.StructField(c, T.StringType()) for c in columns]
         fields += [T.StructField(c, T.StringType() if c == "file_path" else T.LongType()) for c in PLACE]
         return Records(spark.createDataFrame([], T.StructType(fields)), missing)
-    lines = scan_lines(spark, found)
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(found).select(F.col("_metadata.file_path").alias("file_path"))
+    read = _records(scan_lines(spark, found), listed, layout, columns, skip_rows, strict)
+    return Records(read.rows, missing.unionByName(read.rejected))
+
+
+def _records(
+    lines: DataFrame, listed: DataFrame, layout: dict[str, str], columns: list[str], skip_rows: int, strict: bool
+) -> Records:
+    """Rows and rejects of parsed lines; ``listed`` names all files, with lines or without."""
     # The header is the first line of a file behind the skipped ones: one short row per file.
     top = F.slice(F.sort_array(F.collect_list(F.struct("row_id", "cells"))), skip_rows + 1, 1)
     first = lines.filter("file_block = 0").groupBy("file_path").agg(F.min("row_id").alias("top_row"))
@@ -160,9 +176,8 @@ def read_records(
         "file_path", "reason", F.coalesce("raw", F.array_join("cells", ",", "")).alias("line")
     )
     of_files = head.filter(~F.col("whole")).select("file_path", F.col("lacks").alias("reason"), F.lit(None).cast("string").alias("line"))
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(found).select(F.col("_metadata.file_path").alias("file_path"))
     blank = listed.join(head.select("file_path"), "file_path", "left_anti").select("file_path", F.lit("no line").alias("reason"), F.lit(None).cast("string").alias("line"))
-    return Records(rows, missing.unionByName(of_lines).unionByName(of_files).unionByName(blank))
+    return Records(rows, of_lines.unionByName(of_files).unionByName(blank))
 
 
 def safe_read(
@@ -258,6 +273,62 @@ def read_sales(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.col(c).try_cast(types[c]).alias(c) if c in types else F.col(c) for c in raw.columns])
 
 
+def land(spark: SparkSession, paths: str | Iterable[str], landing: str) -> DataFrame:
+    """Save dropped files below the landing folder, each content once; returns what was new.
+
+    A drop is a dataset of the files' bytes with path, name, length and SHA-256. A file whose content has landed before,
+    under whatever name, is left out, as is a second one in the same drop. A drop that broke off has not landed: the next
+    one takes its place. Files are reports of up to 2 GB.
+    """
+    drops = _drops(spark, landing)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load([paths] if isinstance(paths, str) else list(paths))
+    files = files.select(F.col("_metadata.file_path").alias("path"), "length", "content")
+    hashed = files.select("path", F.sha2("content", 256).alias("sha256"))
+    new = hashed.groupBy("sha256").agg(F.min("path").alias("path")).join(landed(spark, landing).select("sha256"), "sha256", "left_anti")
+    into = f"{landing}/drop={max(drops, default=0) + 1}"
+    named = files.join(new, "path").select("path", drop_name(F.col("path")).alias("file_name"), "length", "sha256", "content")
+    named.write.mode("overwrite").parquet(into)
+    return spark.read.schema(LANDED).parquet(into).drop("content")
+
+
+def _drops(spark: SparkSession, landing: str) -> list[int]:
+    """Numbers of the drops that have landed whole."""
+    paths = existing(spark, [f"{landing}/drop=*/_SUCCESS"])
+    if not paths:
+        return []
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(paths[0])
+    done = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in done)
+
+
+def _landed(spark: SparkSession, landing: str) -> DataFrame:
+    parts = [f"{landing}/drop={n}" for n in _drops(spark, landing)]
+    if not parts:
+        return spark.createDataFrame([], f"{LANDED}, drop int")
+    return spark.read.schema(f"{LANDED}, drop int").option("basePath", landing).parquet(*parts)
+
+
+def landed(spark: SparkSession, landing: str) -> DataFrame:
+    """The manifest: path, file_name, length, sha256 and drop of every file that has landed."""
+    return _landed(spark, landing).drop("content")
+
+
+def read_landed(
+    spark: SparkSession, landing: str, layout: dict[str, str], columns: Iterable[str] | None = None, skip_rows: int = 0
+) -> Records:
+    """``read_records`` over the files that have landed."""
+    files = _landed(spark, landing)
+    lines = files.select(
+        F.col("path").alias("file_path"), F.lit(0).cast("bigint").alias("file_block"),
+        F.is_valid_utf8(F.col("content").cast("string")).alias("valid"),
+        F.posexplode(F.split(F.col("content").cast("string"), "\r?\n|\r")).alias("row_id", "value"),
+    ).withColumn("row_id", F.col("row_id").cast("bigint"))
+    columns = list(columns) if columns is not None else list(layout.values())
+    # splitting replaces bytes that are no UTF-8 by a sign of their own
+    spoiled = ~F.col("valid") & F.col("value").contains("\ufffd")
+    return _records(parsed_lines(lines, spoiled), files.select(F.col("path").alias("file_path")), layout, columns, skip_rows, False)
+
+
 def write_csv(df: DataFrame, path: str, layout: dict[str, str] | None = None, mode: str = "errorifexists") -> str:
     """Write a table as text under the layout's header labels."""
     if layout:
@@ -267,11 +338,16 @@ def write_csv(df: DataFrame, path: str, layout: dict[str, str] | None = None, mo
     return path
 
 
-def write_reports(tables: dict[str, DataFrame], folder: str, partition_by: dict[str, list[str]] | None = None) -> None:
-    """Write each table as a dataset ``report=<name>`` below the folder, in place of one a run before has left there."""
+def write_reports(tables: dict[str, DataFrame], folder: str, sort_by: dict[str, list[str]] | None = None) -> None:
+    """Write each table as a dataset ``report=<name>`` below the folder, in place of one a run before has left there.
+
+    A table with sort columns is written in ranges of them, each file sorted: a reader of one value finds its rows by
+    the files' minima and maxima. The number of files depends on the size of the table, not on its values, and the rows
+    of a frequent value may lie in several files.
+    """
     for name, df in tables.items():
-        keys = (partition_by or {}).get(name, [])
-        # Rows of a partition value meet in a few tasks, a hot value in several.
+        keys = (sort_by or {}).get(name, [])
         if keys:
-            df = df.repartition(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(4)))
-        df.write.mode("overwrite").partitionBy(*keys).parquet(f"{folder}/report={name}")
+            row = F.xxhash64(*df.columns)
+            df = df.repartitionByRange(*[F.col(k) for k in keys], row).sortWithinPartitions(*keys)
+        df.write.mode("overwrite").parquet(f"{folder}/report={name}")

@@ -1,5 +1,9 @@
 import datetime as dt
 
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
 from shopledger.operators import bonus as bo
 
 DAY = dt.date(2024, 1, 1)
@@ -76,3 +80,19 @@ def test_sheeting(spark):
     )
     got = {r.employee_number: (r.gold, r.gold_bonus) for r in bo.sheeting_bonus(hours, daily, rate).collect()}
     assert got == {"a": (True, 16.0), "b": (True, None)}
+
+
+def test_a_group_rule_sees_all_columns_and_covers_every_job(spark):
+    rows = [row("Die Cutting", "m1", qty=5.0), row("Die Cutting", "m1", code="c2", qty=50.0), row("Gluing", "m2", die=None), row("Printing", "m3", erp="e9")]
+    price = prices(spark, [("e1", "c1", 0.5), ("e1", "c1", 1.0)])
+    large = lambda r: r.groupBy(*bo.JOB).agg(F.count_if((F.col("output_qty") > 20) | (F.col("erp_num") == "e9")).alias("make_ready"))
+    daily = {r.member_id: r for r in bo.daily_output(out(spark, rows), price, group_rule=large).collect()}
+    assert {m: r.make_ready for m, r in daily.items()} == {"m1": 1, "m2": 0, "m3": 1}
+    assert {m: r.output_qty for m, r in daily.items()} == {"m1": 60.0, "m2": 20.0, "m3": 10.0}
+    for fault, message in (
+        (lambda r: large(r).filter("member_id <> 'm1'"), "gives no make-ready for"),
+        (lambda r: large(r).unionByName(large(r)), "gives more than one make-ready"),
+        (lambda r: large(r).withColumn("product", F.lit("other")), "make-ready for"),
+    ):
+        with pytest.raises(PySparkException, match=message):
+            bo.daily_output(out(spark, rows), price, group_rule=fault).collect()

@@ -79,3 +79,15 @@ def test_dates_with_a_time_part(spark):
     texts = ["2024-01-02 00:00:00", "2/1/2024 08:30", "2024-01-02T07:05:09.5", "2024-01-02", "x 08:30", None]
     rows = spark.createDataFrame([(t,) for t in texts], "d string")
     assert [str(r[0]) for r in rows.select(clock.parse_date("d")).collect()] == ["2024-01-02"] * 4 + ["None"] * 2
+
+
+@pytest.mark.parametrize("year, observed", [
+    (2021, {"Christmas Day": "12-27", "Boxing Day": "12-28"}),  # Saturday and Sunday
+    (2022, {"New Year's Day": "01-03", "Christmas Day": "12-27"}),  # Monday is Boxing Day already
+    (2020, {"Boxing Day": "12-28"}), (2018, {"Canada Day": "07-02"}), (2017, {"New Year's Day": "01-02", "Canada Day": "07-03"}),
+    (2024, {}),
+])
+def test_holidays_on_a_weekend_move_on(spark, year, observed):
+    days = spark.range(1).select(F.inline(holidays.ontario_holidays(F.lit(year), substitutes=True))).collect()
+    got = {r.description.removesuffix(" (observed)"): str(r.holiday_date)[5:] for r in days if "observed" in r.description}
+    assert got == observed and len(days) == 10 + len(observed)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopledger.operators.ordered import mark_runs, neighbours
@@ -65,3 +66,15 @@ def test_no_window_spans_a_whole_key_of_rows(spark):
     df = spark.createDataFrame(make(1), "k string, at int, x int, v int")
     plan = neighbours(df, ["k"], ["at"], F.col("at"), lag={"before": "x"})._jdf.queryExecution().toString()
     assert "windowspecdefinition(k" in plan and "__bucket0" in plan
+
+
+def test_deep_buckets_equal_the_plain_window(spark):
+    rnd = random.Random(6)
+    rows = [(rnd.choice("kk?"), n, n // 4, n // 16, rnd.randint(1, 9), rnd.choice([None, None, f"v{n}"])) for n in range(300)]
+    df = spark.createDataFrame(rows, "k string, at int, fine int, wide int, v int, f string").repartition(5)
+    buckets = [F.floor(F.col("wide") / 4), F.col("wide"), F.col("fine")]
+    got = neighbours(df, ["k"], ["at"], buckets, lag={"before": "v"}, running={"total": F.col("v")}, fill={"filled": "f"}, deep=True)
+    plain = Window.partitionBy("k").orderBy("at")
+    want = df.withColumns({"before": F.lag("v").over(plain), "total": F.sum("v").over(plain),
+                           "filled": F.last("f", ignorenulls=True).over(plain.rowsBetween(Window.unboundedPreceding, 0))})
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))

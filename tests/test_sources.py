@@ -85,11 +85,43 @@ def test_schedule_filter_keeps_unknown_values(spark):
     assert fs.schedule_filter(df).count() == 2
 
 
-def test_reports_are_written_per_employee(spark, tmp_path):
-    df = spark.range(40).select((F.col("id") % 3).alias("employee_number"), "id")
-    fs.write_reports({"detail": df, "log": df}, str(tmp_path / "out"), {"detail": ["employee_number"]})
-    assert spark.read.parquet(str(tmp_path / "out" / "report=detail" / "employee_number=1")).count() == 13
-    assert spark.read.parquet(str(tmp_path / "out" / "report=log")).count() == 40
+def test_reports_are_sorted_files_in_ranges(spark, tmp_path):
+    """The number of files doesn't grow with the employees, and one of them is found in a file or two."""
+    folder = str(tmp_path / "out")
+    count = {}
+    for n in (20, 2000):
+        df = spark.range(4000).select((F.col("id") % n).alias("employee_number"), F.lit(1).alias("period"), "id")
+        fs.write_reports({"detail": df, "log": df}, folder, {"detail": ["period", "employee_number"]})
+        detail = spark.read.parquet(f"{folder}/report=detail")
+        count[n] = len(detail.inputFiles())
+        one = detail.filter("employee_number = 7")
+        assert one.count() == 4000 // n and detail.count() == 4000
+        assert one.select(F.col("_metadata.file_path")).distinct().count() <= 2
+        where = F.col("_metadata.file_path")
+        ranges = detail.groupBy(where).agg(F.min("employee_number").alias("a"), F.max("employee_number").alias("b")).orderBy("a").collect()
+        assert all(x.b <= y.a for x, y in zip(ranges, ranges[1:]))
+    assert count[2000] <= count[20] + 4
+    assert spark.read.parquet(f"{folder}/report=log").count() == 4000
+
+
+def test_a_landed_file_is_loaded_once(spark, tmp_path):
+    landing, head = str(tmp_path / "landing"), "Price,ProductID,ERPNum\n"
+    one, two = tmp_path / "one", tmp_path / "two"
+    one.mkdir()
+    two.mkdir()
+    (one / "a.csv").write_text(head + "1,p,e\n2,q,e\n")
+    (one / "same.csv").write_text(head + "1,p,e\n2,q,e\n")
+    (two / "again.csv").write_text(head + "1,p,e\n2,q,e\n")
+    (two / "b.csv").write_bytes(b"\xef\xbb\xbfERPNum,Price,ProductID\r\ne,3,r\r\n\xff,4,s\r\n")
+    assert fs.landed(spark, landing).count() == 0
+    assert [r.file_name for r in fs.land(spark, str(one), landing).collect()] == ["a.csv"]
+    assert [r.file_name for r in fs.land(spark, str(two), landing).collect()] == ["b.csv"]
+    assert fs.land(spark, [str(one), str(two)], landing).count() == 0
+    files = {r.file_name: r for r in fs.landed(spark, landing).collect()}
+    assert {n: (r.drop, r.length) for n, r in files.items()} == {"a.csv": (1, 35), "b.csv": (2, 41)} and len(files["a.csv"].sha256) == 64
+    read = fs.read_landed(spark, landing, schemas.DIE_PRICE)
+    assert {(r.price, r.product_id, r.erp_num) for r in read.rows.collect()} == {("1", "p", "e"), ("2", "q", "e"), ("3", "r", "e")}
+    assert [r.reason for r in read.rejected.collect()] == ["not UTF-8"]
 
 
 def test_cleaning(spark):
