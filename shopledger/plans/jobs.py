@@ -2,6 +2,8 @@
 
 Every job stores the tables it reads more than once in the shared folder, so no
 branch repeats the work of another and a lost executor only repeats its own part.
+These tables are removed when the reports are written; what a job returns is read
+from the reports.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from shopledger.functions.text import to_number
 from shopledger.operators import bonus as bo
 from shopledger.operators import erp, forecast, payroll, sales
 from shopledger.operators import timeclock as tc
-from shopledger.session import configure, store
+from shopledger.session import configure, scratch, store
 from shopledger.sources import files as fs
 
 
@@ -65,6 +67,11 @@ def _typed_sheeting(raw: DataFrame) -> DataFrame:
 def run_performance(spark: SparkSession, folder: str, out: str) -> dict[str, DataFrame]:
     """Operator performance: bonus report, missing hours, and the summaries."""
     configure(spark)
+    with scratch(spark):
+        return fs.write_reports(_performance(spark, folder), out)
+
+
+def _performance(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     paths = paths_by_role(spark, folder)
 
     def load(role: str, layout: dict[str, str], fn, skip_rows: int = 0) -> DataFrame:
@@ -80,7 +87,7 @@ def run_performance(spark: SparkSession, folder: str, out: str) -> dict[str, Dat
     performance = store(
         bo.performance_union(bo.sheeting_bonus(hours, bo.sheeting_daily(sheeting), rates), other), "performance"
     )
-    reports = {
+    return {
         "bonus": bo.bonus_report(performance),
         "not_reported": bo.not_reported_report(performance),
         "production_bonus": bo.production_bonus(performance),
@@ -88,8 +95,6 @@ def run_performance(spark: SparkSession, folder: str, out: str) -> dict[str, Dat
         "by_process_location": bo.summary_by(performance, ["process", "location"]),
         **{f"by_employee_{m}": bo.employee_summary(performance, m) for m in bo.MEASURES},
     }
-    fs.write_reports(reports, out)
-    return reports
 
 
 def adjust_timesheet(timesheet: DataFrame, schedule: DataFrame | None) -> dict[str, DataFrame]:
@@ -119,6 +124,15 @@ def run_payroll(
 ) -> dict[str, DataFrame]:
     """Bi-weekly payroll: summary, per-employee detail, vacations, changes and alerts."""
     configure(spark)
+    with scratch(spark):
+        reports = _payroll(spark, timesheets, schedules, payrates, start, num_periods, bonus_folder, holidays)
+        return fs.write_reports(reports, out, {"detail": ["period_start", "employee_number"]})
+
+
+def _payroll(
+    spark: SparkSession, timesheets: Sequence[str], schedules: Sequence[str], payrates: str, start: dt.date, num_periods: int,
+    bonus_folder: str | None, holidays: DataFrame | None,
+) -> dict[str, DataFrame]:
     schedule = fs.load_schedules(spark, schedules) if schedules else None
     steps = adjust_timesheet(fs.load_timesheets(spark, timesheets), schedule)
     last_year = (start + dt.timedelta(days=payroll.PERIOD_DAYS * num_periods)).year
@@ -132,14 +146,12 @@ def run_payroll(
     sheet = steps["timesheet"]
     base = store(payroll.pay_base(sheet, rates, holidays, start, num_periods), "base")
     paid = store(payroll.payroll(sheet, rates, holidays, bonus, start, num_periods, base=base), "paid")
-    reports = {
+    return {
         "summary": payroll.pay_summary(paid),
         "detail": payroll.pay_detail(paid, steps["timesheet"], start, num_periods),
         "unmatched": payroll.unmatched_employees(paid).select("employee_number", "period_start"),
         **{k: v for k, v in steps.items() if k != "timesheet"},
     }
-    fs.write_reports(reports, out, {"detail": ["period_start", "employee_number"]})
-    return reports
 
 
 def register_erp_views(
@@ -170,6 +182,11 @@ def run_forecast(
 ) -> dict[str, DataFrame]:
     """Daily histories, linear and seasonal forecasts, in total and by category, with errors."""
     configure(spark)
+    with scratch(spark):
+        return fs.write_reports(_forecast(spark, sales_path, split, horizon, months), out)
+
+
+def _forecast(spark: SparkSession, sales_path: str, split: dt.date, horizon: int, months: int) -> dict[str, DataFrame]:
     day = forecast.DATE
     by_category = store(sales.dense_by_category(fs.read_sales(spark, sales_path), sales.MEASURES), "daily")
     totals = by_category.groupBy(day).agg(F.sum("total_sales").alias("total_sales"))
@@ -193,5 +210,4 @@ def run_forecast(
                 forecast.align(series.filter(after), fitted, ["sales"], m), ["sales"], fitted
             )
             tables[f"{name}_stationarity_{m}"] = forecast.adf_statistic(series.filter(before), ["sales"], m)
-    fs.write_reports(tables, out)
     return tables

@@ -6,10 +6,14 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 ARCHIVE = "shopledger-package.zip"
+#: Folders named within the open ``scratch`` blocks, the innermost last.
+_SCRATCH: list[list[str]] = []
 
 # Runtime SQL settings; none of them depends on the size of the cluster.
 RUNTIME_CONF = {
@@ -90,7 +94,25 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name below the shared root (created by the first write)."""
-    return f"{shared_root(spark)}/shopledger/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/shopledger/{label}-{uuid.uuid4().hex}"
+    if _SCRATCH:
+        _SCRATCH[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders named by ``new_folder`` (and so by ``store``) within are removed at the end, also after an error.
+
+    What is to outlive them has to be written elsewhere and read from there.
+    """
+    _SCRATCH.append([])
+    try:
+        yield
+    finally:
+        path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in _SCRATCH.pop():
+            path_of(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path_of(path), True)
 
 
 def store(df, label: str):

@@ -338,16 +338,24 @@ def write_csv(df: DataFrame, path: str, layout: dict[str, str] | None = None, mo
     return path
 
 
-def write_reports(tables: dict[str, DataFrame], folder: str, sort_by: dict[str, list[str]] | None = None) -> None:
+def write_reports(
+    tables: dict[str, DataFrame], folder: str, sort_by: dict[str, list[str]] | None = None
+) -> dict[str, DataFrame]:
     """Write each table as a dataset ``report=<name>`` below the folder, in place of one a run before has left there.
 
+    Returns the tables as they are read from there.
+
     A table with sort columns is written in ranges of them, each file sorted: a reader of one value finds its rows by
     the files' minima and maxima. The number of files depends on the size of the table, not on its values, and the rows
     of a frequent value may lie in several files.
     """
+    written = {}
     for name, df in tables.items():
         keys = (sort_by or {}).get(name, [])
         if keys:
             row = F.xxhash64(*df.columns)
             df = df.repartitionByRange(*[F.col(k) for k in keys], row).sortWithinPartitions(*keys)
-        df.write.mode("overwrite").parquet(f"{folder}/report={name}")
+        path = f"{folder}/report={name}"
+        df.write.mode("overwrite").parquet(path)
+        written[name] = df.sparkSession.read.schema(df.schema).parquet(path)
+    return written

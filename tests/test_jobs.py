@@ -1,13 +1,32 @@
 import datetime as dt
+import os
+import shutil
+
+import pytest
 
 from shopledger import schemas
 from shopledger.plans import jobs
 from shopledger.plans.adapters import AS_OF, Inputs
 from shopledger.plans.queries_sources import drop_schedules, drop_timesheets, payrate_text
-from shopledger.session import new_folder
+from shopledger.session import new_folder, scratch, shared_root, store
 from shopledger.sources import files as fs
 
 
+def stored_folders(spark):
+    folder = f"{shared_root(spark)}/shopledger".removeprefix("file:")
+    return set(os.listdir(folder))
+
+
+def test_scratch_folders_go_after_an_error_too(spark):
+    before = stored_folders(spark)
+    with pytest.raises(ValueError), scratch(spark):
+        assert store(spark.range(3), "some").count() == 3
+        with scratch(spark):
+            store(spark.range(3), "inner")
+        raise ValueError
+    assert stored_folders(spark) == before
+
+
 def test_performance_then_payroll(spark, tiny):
     i = Inputs(spark, tiny)
     folder = drop_timesheets(i)
@@ -15,11 +34,21 @@ def test_performance_then_payroll(spark, tiny):
     fs.write_csv(i.operator_output, f"{folder}/Other output.csv", schemas.OPERATOR_OUTPUT)
     sheeting = i.sheeting.selectExpr("paper_sheets", "date(start_time) filling_date", "start_time", "start_time end_time", "employee_number")
     fs.write_csv(sheeting, f"{folder}/Sheeting.csv", schemas.SHEETING)
-    out = new_folder(spark, "reports")
+    # a bonus-rate report has two lines of titles above its header
+    head = ["title", "subtitle", ",".join(schemas.BONUS_RATE)]
+    rates = [",".join("" if v is None else str(v) for v in r) for r in i.bonus_rate.select(*schemas.BONUS_RATE.values()).collect()]
+    path = new_folder(spark, "rates").removeprefix("file:")
+    os.makedirs(path)
+    with open(f"{path}/Operator Bonus Rate.csv", "w") as file:
+        file.write("\n".join([*head, *rates]) + "\n")
+    shutil.copy(f"{path}/Operator Bonus Rate.csv", folder)
+    out, before = new_folder(spark, "reports"), stored_folders(spark)
     reports = jobs.run_performance(spark, folder, out)
+    assert stored_folders(spark) - before == {os.path.basename(out)}  # nothing else is left
     bonus = spark.read.parquet(f"{out}/report=bonus")
-    assert bonus.count() > 0 and bonus.filter("process = 'Sheeting'").count() >= 0
-    assert spark.read.parquet(f"{out}/report=by_process_location").count() == 0  # no bonus-rate file: no location
+    assert bonus.count() > 0 and bonus.filter("process <> 'Sheeting' and silver_bonus + gold_bonus > 0").count() > 0
+    by_place = spark.read.parquet(f"{out}/report=by_process_location")
+    assert {r.location for r in by_place.select("location").distinct().collect()} == {"East", "West"}
     assert reports["range"].first().report_name.startswith("Production Report from 2024-01")
 
     rates = fs.write_csv(payrate_text(i), f"{new_folder(spark, 'rates')}/payrate.csv", schemas.PAYRATE)
