@@ -471,8 +471,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, classes: np.ndarray) -> DataFram
     texts = docs.join(parts, docs.id.eqNullSafe(parts.id) & (docs.hash == parts.hash)).select(docs.id, docs.hash, "text", "wanted")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        ids, hashes, texts_, wanted_ = (c.to_pylist() for c in batch.columns)
-        rows = [(i, h, r["line"], r["root"], r["blocks"], r["h1"], r["h2"], t.split("\n")[r["line"]]) for i, h, t, w in zip(ids, hashes, texts_, wanted_) for r in w]
+        rows = []
+        for id_, hash_, text, wanted_ in zip(*(c.to_pylist() for c in batch.columns)):
+            found = text.split("\n")
+            rows += [(id_, hash_, r["line"], r["root"], r["blocks"], r["h1"], r["h2"], found[r["line"]]) for r in wanted_]
         word, number, sizes, _ = line_sets([r[-1] for r in rows], classes)
         pieces = [w.tobytes() for w in np.split(word, np.cumsum(sizes)[:-1])]
         columns = list(zip(*rows))[:-1]
@@ -519,7 +521,11 @@ def without_similar_lines(df: DataFrame, id_col: str = "doc_id", text_col: str =
     docs = named.select(F.col(id_col).alias("id"), F.col(own).alias("hash"), F.col(text_col).alias("text"))
     gone = removed_lines(docs).select(F.col("id").alias(other), F.col("hash").alias(of), F.col("lines").alias(numbers))
     joined = named.join(gone, F.col(id_col).eqNullSafe(F.col(other)) & (F.col(own) == F.col(of)), "left")
-    kept = F.expr(f"array_join(filter(split(`{text_col}`, '\\n', -1), (x, i) -> not array_contains({numbers}, i)), '\\n')")
+    # the numbers that stay, by a hash set, and their lines; the array of one makes one name for the lines
+    kept = F.expr(
+        f"transform(array(split(`{text_col}`, '\\n', -1)), x -> "
+        f"array_join(transform(array_except(sequence(0, size(x) - 1), {numbers}), i -> get(x, i)), '\\n'))[0]"
+    )
     count = F.when(F.col(numbers).isNull(), 0).otherwise(F.size(numbers)).cast("long")
     return joined.select(
         *(F.when(F.col(numbers).isNull(), F.col(c)).otherwise(kept).alias(c) if c == text_col else F.col(c) for c in df.columns),

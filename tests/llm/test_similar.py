@@ -308,3 +308,12 @@ def test_pipeline_on_an_empty_table(spark, tiny, tmp_path):
         stage(spark, docs, tiny).write.parquet(f"{tmp_path}/{k}")
         docs = spark.read.parquet(f"{tmp_path}/{k}")
     assert docs.count() == 0
+
+
+def test_texts_of_many_lines_are_split_once(spark):
+    """A long text of equal lines, and one of lines that are all its own: linear in the lines."""
+    prepare(spark)
+    texts = [(1, "\n".join(["a line of some words here"] * 30_000)), (2, "\n".join(f"line {k} with own words w{k} v{k}" for k in range(20_000)))]
+    texts += [(3, "\n\na line of some words here\n\n"), (4, None), (5, "")]
+    found = {r.doc_id: (r.text, r.lines_removed) for r in lines.without_similar_lines(rows_of(spark, texts)).collect()}
+    assert found == {1: ("a line of some words here", 29_999), 2: (texts[1][1], 0), 3: ("\n\n\n", 1), 4: (None, 0), 5: ("", 0)}
