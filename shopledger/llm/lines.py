@@ -322,6 +322,8 @@ class Deal:
         self.hot = np.flatnonzero(counts > hot + 2 * counts.mean())  # not those that are as full as any
         self.blocks = -(-counts[self.hot] // hot)
         self.first = parts + np.cumsum(self.blocks**2) - self.blocks**2  # parts of block i and j of a bucket: first + i * blocks + j
+        # tasks for the parts and for the pairs of blocks, half of which are in use; not without end for one hot bucket
+        self.tasks = parts + min(int((self.blocks * (self.blocks + 1) // 2).sum()), 8 * parts)
 
     def parts_of(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, part) of the postings, a row for each part."""
@@ -407,7 +409,7 @@ def candidate_links(sets: DataFrame, parts: int) -> DataFrame:
         a, b = linked(p, deal.side(p, part))
         return pa.record_batch([pa.array(a), pa.array(b)], ["a", "b"])
 
-    return dealt(sets, deal).repartition(parts, "part").sortWithinPartitions("part").mapInArrow(reduce, "a long, b long")
+    return dealt(sets, deal).repartition(deal.tasks, "part").sortWithinPartitions("part").mapInArrow(reduce, "a long, b long")
 
 
 def earlier_matches(found: list[tuple], classes: int = 256) -> list[int]:
