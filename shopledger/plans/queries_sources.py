@@ -166,7 +166,9 @@ def route_files(i: Inputs) -> DataFrame:
     files = fs.route_files(i.spark, folder)
     # The rows of each routed file, read back: its lines without the header of each part.
     lines = i.spark.read.option("recursiveFileLookup", True).text(folder).groupBy(F.col("_metadata.file_path").alias("path"))
-    counted = files.join(lines.agg((F.count(F.lit(1)) - 1).alias("n")), "path")
+    # Stored, one row per file: else Spark carries the test of the names over to the paths of all lines.
+    counts = store(lines.agg((F.count(F.lit(1)) - 1).alias("n")), "counts")
+    counted = files.join(counts, "path")
     return counted.groupBy("role", "file_name").agg(F.sum("n").alias("n_rows"))
 
 
