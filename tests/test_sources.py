@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from shopledger import schemas
 from shopledger.operators import bonus as bo
 from shopledger.operators import cleaning as cl
+from shopledger.plans import queries_sources as qs
+from shopledger.plans.adapters import Inputs
 from shopledger.sources import files as fs
 
 
@@ -202,3 +204,37 @@ def test_a_read_scans_its_files_once(spark, tmp_path, monkeypatch):
     (scan,) = [df._jdf.queryExecution().executedPlan().toString() for df in written]
     assert scan.count("Scan text") == 1 and not any("Scan text" in p or "Scan csv" in p for p in plans)
     assert read.rows.count() == 1 and read.rejected.count() == 0
+
+
+def test_lines_meet_their_header_where_they_are(spark, tmp_path):
+    """No line is shuffled by its path, however large Spark takes the headers to be."""
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_text("Price,ProductID,ERPNum\n" + f"{k},p,e\n" * 5)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = fs.safe_read(spark, str(tmp_path), schemas.DIE_PRICE)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+        assert rows.groupBy("price").count().orderBy("price").collect() == [("0", 5), ("1", 5), ("2", 5)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_the_content_of_a_landed_file_parts_from_its_lines(spark, tmp_path, monkeypatch):
+    """What is below the split has the content, what is above it only lines."""
+    (tmp_path / "drop").mkdir()
+    (tmp_path / "drop" / "a.csv").write_text("Price,ProductID,ERPNum\n1,p,e\n")
+    fs.land(spark, str(tmp_path / "drop"), str(tmp_path / "landing"))
+    written = []
+    store = fs.store
+    monkeypatch.setattr(fs, "store", lambda df, label: written.append(df) or store(df, label))
+    assert fs.read_landed(spark, str(tmp_path / "landing"), schemas.DIE_PRICE).rows.count() == 1
+    plan = written[0]._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Generate ")]
+    assert "content#" not in above and "split#" not in above
+
+
+def test_names_of_files_are_not_tested_line_by_line(spark, tiny):
+    """Routed files are joined with counts that are there, so no test of a name reaches the scan of the lines."""
+    plan = qs.QUERIES["route_files"](Inputs(spark, tiny))._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" not in plan
