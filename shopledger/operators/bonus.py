@@ -20,6 +20,8 @@ COMMON_COLUMNS = [
 ]
 DAY = ["process", "shift_date", "member_id"]
 JOB = [*DAY, "product", "device_name", "die_number"]
+# A job is an item on a line.
+LINE, ITEM = [*DAY, "device_name"], ["product", "die_number"]
 
 
 def _zero_sum(c: str | Column) -> Column:
@@ -177,9 +179,10 @@ def daily_output(
 
     The prices of an (order, product) are summed before they meet the output: a
     price list with duplicates multiplies quantity and revenue as the row join
-    would, without its rows.  The first grouping shuffles on all job, code and
-    style columns, so no single member, day or job gathers in one task; what is
-    left per job is its distinct codes and styles.
+    would, without its rows.  One exchange, by member, day, process and device,
+    serves the levels of styles, codes, jobs and devices; what a member makes on
+    a device in a day bounds the rows that meet in a task, and they are summed as
+    they come.  A day of many devices is summed from its devices.
     """
     price = prices.groupBy("erp_num", F.col("product_id").alias("main_product_code")).agg(
         F.count(F.lit(1)).alias("n_prices"), F.sum("price").alias("price")
@@ -191,34 +194,27 @@ def daily_output(
             "output_qty": F.col("output_qty") * F.coalesce("n_prices", F.lit(1)),
         }
     )
-    # The job columns travel as one struct: a single grouping column keeps the generated code small.
+    # The job columns travel as two structs: few grouping columns keep the generated code small.
     priced = priced.select(
-        F.struct(*JOB).alias("job"), "main_product_code", "makeup_style", "output_qty", "revenue"
+        F.struct(*LINE).alias("line"), F.struct(*ITEM).alias("item"), "main_product_code", "makeup_style", "output_qty", "revenue"
     )
-    styles = priced.groupBy("job", "main_product_code", "makeup_style").agg(
-        F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue")
-    )
-    # One exchange serves both the code and the job level.
-    codes = styles.repartition("job").groupBy("job", "main_product_code").agg(
-        F.count("makeup_style").alias("n_styles"),
-        F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
-    )
-    jobs = codes.groupBy("job").agg(
+    measures = [F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue")]
+    styles = priced.repartition("line").groupBy("line", "item", "main_product_code", "makeup_style").agg(*measures)
+    codes = styles.groupBy("line", "item", "main_product_code").agg(F.count("makeup_style").alias("n_styles"), *measures)
+    jobs = codes.groupBy("line", "item").agg(
         F.count("main_product_code").alias("n_codes"),
-        _zero_sum(F.when(F.col("main_product_code").isNotNull(), F.col("n_styles"))).alias("n_styles"),
-        F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
-    ).select("job.*", "n_codes", "n_styles", "output_qty", "revenue")
+        _zero_sum(F.when(F.col("main_product_code").isNotNull(), F.col("n_styles"))).alias("n_styles"), *measures,
+    )
     # A job with an unknown product, device or die counts no make-ready.
     if group_rule is None:
-        counted = F.when(_all_present(JOB), make_ready(F.col("process"), F.col("n_codes"), F.col("n_styles")))
+        known = _all_present([*(f"line.{c}" for c in LINE), *(f"item.{c}" for c in ITEM)])
+        counted = F.when(known, make_ready(F.col("line.process"), F.col("n_codes"), F.col("n_styles")))
         jobs = jobs.withColumn("make_ready", counted)
     else:
-        jobs = by_group_rule(jobs, rows, group_rule)
-    devices = jobs.groupBy(*DAY, "device_name").agg(
-        F.sum("make_ready").alias("make_ready"),
-        F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue"),
-    )
-    return devices.groupBy(*DAY).agg(
+        ruled = by_group_rule(jobs.select("line.*", "item.*", "output_qty", "revenue"), rows, group_rule)
+        jobs = ruled.select(F.struct(*LINE).alias("line"), "make_ready", "output_qty", "revenue")
+    devices = jobs.groupBy("line").agg(F.sum("make_ready").alias("make_ready"), *measures)
+    return devices.select("line.*", "make_ready", "output_qty", "revenue").groupBy(*DAY).agg(
         _zero_sum("output_qty").alias("output_qty"),
         _zero_sum("make_ready").alias("make_ready"),
         F.count("device_name").alias("number_of_lines"),

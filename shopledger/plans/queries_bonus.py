@@ -33,8 +33,7 @@ def long_runs(rows: DataFrame) -> DataFrame:
 
 
 def daily(i: Inputs) -> DataFrame:
-    # A stored table has a known size, by which Spark chooses the join.
-    return bo.daily_output(output(i), i.stored("prices", lambda: prices(i)))
+    return bo.daily_output(output(i), prices(i))
 
 
 def sheets(i: Inputs) -> DataFrame:
@@ -89,7 +88,7 @@ QUERIES = {
         bo.join_daily_hours(hours(i), sheets(i)), bo.clean_bonus_rate(i.bonus_rate)
     ).select("employee_number", "start_date", "paper_sheets", "gold_rate").dropDuplicates(),
     "make_ready": lambda i: daily(i).select(*bo.DAY, "make_ready"),
-    "make_ready_group_rule": lambda i: bo.daily_output(output(i), i.stored("prices", lambda: prices(i)), group_rule=long_runs).select(
+    "make_ready_group_rule": lambda i: bo.daily_output(output(i), prices(i), group_rule=long_runs).select(
         *bo.DAY, "make_ready"),
     "number_of_lines": lambda i: daily(i).select(*bo.DAY, "number_of_lines"),
     "output_rollup": daily,

@@ -96,3 +96,15 @@ def test_a_group_rule_sees_all_columns_and_covers_every_job(spark):
     ):
         with pytest.raises(PySparkException, match=message):
             bo.daily_output(out(spark, rows), price, group_rule=fault).collect()
+
+
+def test_a_day_of_output_is_dealt_twice(spark):
+    """Once by member, day and device for styles, codes, jobs and devices, and once, summed, by member and day."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        daily = bo.daily_output(out(spark, [row("Gluing", "m1")]), prices(spark, [("e1", "c1", 0.5)]))
+        plan = daily._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # two more deal the rows and the prices by order and code
+    assert plan.count("Exchange hashpartitioning") == 4
