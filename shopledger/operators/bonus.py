@@ -184,7 +184,9 @@ def daily_output(
     a device in a day bounds the rows that meet in a task, and they are summed as
     they come.  A day of many devices is summed from its devices.
     """
-    price = prices.groupBy("erp_num", F.col("product_id").alias("main_product_code")).agg(
+    # Few prices share an order and a product: summed before the exchange, they would fill the memory of its tasks.
+    listed = prices.select("erp_num", F.col("product_id").alias("main_product_code"), "price")
+    price = listed.repartition("erp_num", "main_product_code").groupBy("erp_num", "main_product_code").agg(
         F.count(F.lit(1)).alias("n_prices"), F.sum("price").alias("price")
     )
     rows = relabel_process(output).filter(_all_present(DAY))
