@@ -19,6 +19,7 @@ COMMON_COLUMNS = [
     "flag_not_report_working_hour", "silver", "gold", "silver_bonus", "gold_bonus",
 ]
 DAY = ["process", "shift_date", "member_id"]
+MEMBER_DAY = ["member_id", "shift_date"]
 JOB = [*DAY, "product", "device_name", "die_number"]
 # A job is an item on a line.
 LINE, ITEM = [*DAY, "device_name"], ["product", "die_number"]
@@ -182,7 +183,8 @@ def daily_output(
     would, without its rows.  One exchange, by member, day, process and device,
     serves the levels of styles, codes, jobs and devices; what a member makes on
     a device in a day bounds the rows that meet in a task, and they are summed as
-    they come.  A day of many devices is summed from its devices.
+    they come.  A day of many devices is summed from its devices, which are dealt
+    by member and day: the join with the member's hours of the day deals them no more.
     """
     # Few prices share an order and a product: summed before the exchange, they would fill the memory of its tasks.
     listed = prices.select("erp_num", F.col("product_id").alias("main_product_code"), "price")
@@ -216,10 +218,12 @@ def daily_output(
         ruled = by_group_rule(jobs.select("line.*", "item.*", "output_qty", "revenue"), rows, group_rule)
         jobs = ruled.select(F.struct(*LINE).alias("line"), "make_ready", "output_qty", "revenue")
     devices = jobs.groupBy("line").agg(F.sum("make_ready").alias("make_ready"), *measures)
-    return devices.select("line.*", "make_ready", "output_qty", "revenue").groupBy(*DAY).agg(
+    named = F.when(F.col("line.device_name").isNotNull(), 1).alias("named")
+    dealt = devices.select(*(f"line.{c}" for c in DAY), named, "make_ready", "output_qty", "revenue").repartition(*MEMBER_DAY)
+    return dealt.groupBy(*DAY).agg(
         _zero_sum("output_qty").alias("output_qty"),
         _zero_sum("make_ready").alias("make_ready"),
-        F.count("device_name").alias("number_of_lines"),
+        F.count("named").alias("number_of_lines"),
         _zero_sum("revenue").alias("revenue"),
     )
 

@@ -108,3 +108,23 @@ def test_a_day_of_output_is_dealt_twice(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # two more deal the rows and the prices by order and code
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_a_day_of_output_lies_where_its_hours_are_dealt(spark):
+    """The join with the hours deals only these, and a shuffle starts with more parts than the session's default."""
+    hours = spark.createDataFrame(
+        [("m1", "A", "B", DAY, 9.0)],
+        "employee_number string, first_name string, last_name string, start_date date, working_hours double",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [row("Gluing", "m1"), row("Gluing", "m1", device=None), row("Gluing", "m1", device="v2"), row("Die Cutting", "m2")]
+        daily = bo.daily_output(out(spark, rows), prices(spark, [("e1", "c1", 0.5)]))
+        joined = bo.join_output_hours(hours, daily)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        got = {r.member_id: (r.number_of_lines, r.output_qty, r.revenue, r.working_hours) for r in joined.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(dealt) == 5 and all(", 200), " in line for line in dealt)
+    assert got == {"m1": (2, 30.0, 15.0, 9.0), "m2": (1, 10.0, 5.0, None)}
