@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +21,8 @@ COMMON_COLUMNS = [
 DAY = ["process", "shift_date", "member_id"]
 MEMBER_DAY = ["member_id", "shift_date"]
 JOB = [*DAY, "product", "device_name", "die_number"]
-# A job is an item on a line.
-LINE, ITEM = [*DAY, "device_name"], ["product", "die_number"]
+# A job is an item on a line, on a member's day.
+LINE, ITEM = ["process", "device_name"], ["product", "die_number"]
 
 
 def _zero_sum(c: str | Column) -> Column:
@@ -36,6 +36,46 @@ def _all_present(cols: Sequence[str]) -> Column:
     return cond
 
 
+# -- packed columns ----------------------------------------------------------
+
+FIELD, ESCAPE = "\x1f", "\x1b"
+UNKNOWN = ESCAPE + "2"
+
+
+def pack(cols: Sequence[str], kinds: Mapping[str, str]) -> Column:
+    """The columns as the fields of one text, which tells apart whatever they hold; null if one of them is."""
+    parts: list[Column] = []
+    for c in cols:
+        text = F.col(c).cast("string")
+        if kinds[c] == "string":
+            text = F.replace(F.replace(c, F.lit(ESCAPE), F.lit(ESCAPE + "0")), F.lit(FIELD), F.lit(ESCAPE + "1"))
+        parts += [F.lit(FIELD), text]
+    return F.concat(*parts[1:])
+
+
+def pack_line(kinds: Mapping[str, str]) -> Column:
+    """A line as text, its device may be null; as bytes, as sums by many texts first go through a small map for texts, in vain."""
+    device = F.coalesce(pack(["device_name"], kinds), F.lit(UNKNOWN))
+    return F.concat(pack(["process"], kinds), F.lit(FIELD), device).cast("binary").alias("line")
+
+
+def unpack(packed: str, cols: Sequence[str], kinds: Mapping[str, str]) -> Column:
+    """A struct of the first fields, named and of the kinds they had before they were packed."""
+
+    def value(k: int, kind: str) -> Column:
+        first = F.substring_index(F.col(packed).cast("string"), FIELD, k + 1)
+        text = F.nullif(F.substring_index(first, FIELD, -1), F.lit(UNKNOWN))
+        if kind != "string":
+            return text.cast(kind)
+        return F.replace(F.replace(text, F.lit(ESCAPE + "1"), F.lit(FIELD)), F.lit(ESCAPE + "0"), F.lit(ESCAPE))
+
+    return F.struct(*[value(k, kinds[c]).alias(c) for k, c in enumerate(cols)])
+
+
+def on_known_device() -> Column:
+    return ~F.col("line").cast("string").endswith(FIELD + UNKNOWN)
+
+
 # -- cleaning ----------------------------------------------------------------
 
 
@@ -192,34 +232,35 @@ def daily_output(
         F.count(F.lit(1)).alias("n_prices"), F.sum("price").alias("price")
     )
     rows = relabel_process(output).filter(_all_present(DAY))
-    priced = rows.join(price, ["erp_num", "main_product_code"], "left").withColumns(
-        {
-            "revenue": F.col("output_qty") * F.col("price"),
-            "output_qty": F.col("output_qty") * F.coalesce("n_prices", F.lit(1)),
-        }
-    )
-    # The job columns travel as two structs: few grouping columns keep the generated code small.
-    priced = priced.select(
-        F.struct(*LINE).alias("line"), F.struct(*ITEM).alias("item"), "main_product_code", "makeup_style", "output_qty", "revenue"
+    kinds = dict(rows.dtypes)
+    # Jobs of an unknown product or die count no make-ready: they need not be told apart.
+    item = pack(ITEM, kinds).alias("item")
+    made = rows.select("erp_num", *MEMBER_DAY, pack_line(kinds), item, "main_product_code", "makeup_style", "output_qty")
+    priced = made.join(price, ["erp_num", "main_product_code"], "left").select(
+        *MEMBER_DAY, "line", "item", "main_product_code", "makeup_style",
+        (F.col("output_qty") * F.coalesce("n_prices", F.lit(1))).alias("output_qty"),
+        (F.col("output_qty") * F.col("price")).alias("revenue"),
     )
+    line, job = [*MEMBER_DAY, "line"], [*MEMBER_DAY, "line", "item"]
     measures = [F.sum("output_qty").alias("output_qty"), F.sum("revenue").alias("revenue")]
-    styles = priced.repartition("line").groupBy("line", "item", "main_product_code", "makeup_style").agg(*measures)
-    codes = styles.groupBy("line", "item", "main_product_code").agg(F.count("makeup_style").alias("n_styles"), *measures)
-    jobs = codes.groupBy("line", "item").agg(
+    styles = priced.repartition(*line).groupBy(*job, "main_product_code", "makeup_style").agg(*measures)
+    codes = styles.groupBy(*job, "main_product_code").agg(F.count("makeup_style").alias("n_styles"), *measures)
+    jobs = codes.groupBy(*job).agg(
         F.count("main_product_code").alias("n_codes"),
         _zero_sum(F.when(F.col("main_product_code").isNotNull(), F.col("n_styles"))).alias("n_styles"), *measures,
     )
-    # A job with an unknown product, device or die counts no make-ready.
+    # Nor does a job on an unknown device.
     if group_rule is None:
-        known = _all_present([*(f"line.{c}" for c in LINE), *(f"item.{c}" for c in ITEM)])
-        counted = F.when(known, make_ready(F.col("line.process"), F.col("n_codes"), F.col("n_styles")))
-        jobs = jobs.withColumn("make_ready", counted)
+        known = F.col("item").isNotNull() & on_known_device()
+        process = unpack("line", LINE, kinds)["process"]
+        jobs = jobs.withColumn("make_ready", F.when(known, make_ready(process, F.col("n_codes"), F.col("n_styles"))))
     else:
-        ruled = by_group_rule(jobs.select("line.*", "item.*", "output_qty", "revenue"), rows, group_rule)
-        jobs = ruled.select(F.struct(*LINE).alias("line"), "make_ready", "output_qty", "revenue")
-    devices = jobs.groupBy("line").agg(F.sum("make_ready").alias("make_ready"), *measures)
-    named = F.when(F.col("line.device_name").isNotNull(), 1).alias("named")
-    dealt = devices.select(*(f"line.{c}" for c in DAY), named, "make_ready", "output_qty", "revenue").repartition(*MEMBER_DAY)
+        keys = jobs.withColumns({"line": unpack("line", LINE, kinds), "item": unpack("item", ITEM, kinds)})
+        ruled = by_group_rule(keys.select(*MEMBER_DAY, "line.*", "item.*", "output_qty", "revenue"), rows, group_rule)
+        jobs = ruled.select(*MEMBER_DAY, pack_line(kinds), "make_ready", "output_qty", "revenue")
+    devices = jobs.groupBy(*line).agg(F.sum("make_ready").alias("make_ready"), *measures)
+    days = devices.withColumns({"named": F.when(on_known_device(), 1), "line": unpack("line", LINE, kinds)})
+    dealt = days.select("line.process", *MEMBER_DAY, "named", "make_ready", "output_qty", "revenue").repartition(*MEMBER_DAY)
     return dealt.groupBy(*DAY).agg(
         _zero_sum("output_qty").alias("output_qty"),
         _zero_sum("make_ready").alias("make_ready"),

@@ -128,3 +128,53 @@ def test_a_day_of_output_lies_where_its_hours_are_dealt(spark):
     dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert len(dealt) == 5 and all(", 200), " in line for line in dealt)
     assert got == {"m1": (2, 30.0, 15.0, 9.0), "m2": (1, 10.0, 5.0, None)}
+
+
+def test_packed_columns_are_told_apart_and_come_back(spark):
+    values = ["", "a", "\x1f", "\x1b", "\x1b2", "\x1b1", "\x1f\x1b0", "a\x1fb", None]
+    rows = [row(a, "m1", device=c) for a in values[:-1] for c in values]
+    df = spark.createDataFrame(rows, OUTPUT)
+    kinds = dict(df.dtypes)
+    packed = df.select(F.struct(*bo.LINE).alias("was"), bo.pack_line(kinds), bo.pack(["device_name", "process"], kinds).alias("other"))
+    got = packed.select("*", bo.unpack("line", bo.LINE, kinds).alias("now"), bo.on_known_device().alias("known")).collect()
+    assert len({bytes(r.line) for r in got}) == len(rows)
+    assert all(r.was == r.now and r.known == (r.was.device_name is not None) == (r.other is not None) for r in got)
+
+
+def test_odd_and_unknown_names_are_jobs_of_their_own(spark):
+    rows = [
+        row("Printing", "m1", code="a\x1fb", style=None), row("Printing", "m1", code="a", style="b\x1f"), row("Printing", "m1", code=None),
+        row("Printing", "m1", product="p1\x1f", die="1"), row("Printing", "m1", product="p1", die="\x1f1"),
+        row("Gluing", "m\x1f1", device=None), row("Gluing", "m\x1f1", device="\x1b2"), row("Gluing", "m\x1f1", product=""),
+        row("Gluing", "m\x1f1", product=None), row("Gluing", "m\x1f1", die=None),
+    ]
+    price = prices(spark, [("e1", "a", 2.0), ("e1", "c1", 1.0)])
+    daily = {r.member_id: r for r in bo.daily_output(out(spark, rows), price).collect()}
+    one, two = daily["m1"], daily["m\x1f1"]
+    # two codes of which one has one style, and two jobs of one code and style
+    assert (one.make_ready, one.number_of_lines, one.output_qty, one.revenue) == (2 * 1 + 1 + 1, 1, 50.0, 40.0)
+    assert (two.process, two.shift_date, two.make_ready, two.number_of_lines, two.output_qty) == ("Gluing", DAY, 2, 2, 50.0)
+    codes = lambda r: r.groupBy(*bo.JOB).agg(F.countDistinct("main_product_code").alias("make_ready"))
+    ruled = {r.member_id: r.make_ready for r in bo.daily_output(out(spark, rows), price, group_rule=codes).collect()}
+    assert ruled == {"m1": 2 + 1 + 1, "m\x1f1": 2}
+
+
+def test_rows_of_output_are_dealt_in_few_columns(spark):
+    """What a line and an item are travels packed."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        daily = bo.daily_output(out(spark, [row("Gluing", "m1")]), prices(spark, [("e1", "c1", 0.5)]))
+        plan = daily._jdf.queryExecution().executedPlan().initialPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    dealt = []
+
+    def walk(node):
+        if node.nodeName() == "Exchange":
+            dealt.append({node.output().apply(k).name() for k in range(node.output().size())})
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    walk(plan)
+    rows = {*bo.MEMBER_DAY, "line", "item", "main_product_code", "makeup_style", "output_qty"}
+    assert rows | {"erp_num"} in dealt and rows | {"revenue"} in dealt
