@@ -39,29 +39,21 @@ from shopledger.llm.graph import components
 TOP, BOTTOM, SMALL = 4, 5, 4
 #: Hash buckets of the word counts (as bits), and the count from which a word is paired with another one in the keys.
 RARITY_BITS, COMMON = 18, 1 << 15
-#: Words from which a line's signature has 128 bits instead of 64; postings a task packs at once; lines of a block.
-WIDE, PACKED, BLOCK = 64, 1 << 19, 2048
+#: Words from which a line's signature has 128 bits instead of 64; postings a task packs at once; pairs it keeps; lines of a block.
+WIDE, PACKED, PAIRS, BLOCK = 64, 1 << 17, 1 << 19, 2048
+#: Sets whose postings meet in one task, on average.
+PART = 30_000
 #: Postings of one bucket of keys that meet in one task.
 HOT = 1 << 13
 #: Bytes of text taken at once: their arrays stay in a core's cache.
 SLICE = 1 << 18
 U = np.uint64
-SPACE = np.zeros(256, bool)
-SPACE[[9, 10, 11, 12, 13, 32]] = True
-BYTE_HASH = np.random.default_rng(6).integers(0, 1 << 64, 256, dtype=U)
 BASE = 0x9E3779B97F4A7C15
-_POWERS: list[np.ndarray] = []
+#: The first 0 to 8 bytes of a number; bytes of a word beyond which it is hashed for itself.
+FIRST, LONG = np.array([(1 << 8 * k) - 1 for k in range(9)], U), 64
 POSTING = np.dtype([("key", "<u4"), ("place", "<u4"), ("size", "<u4"), ("line", "<i8"), ("low", "<u8"), ("high", "<u8")])
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of an odd number and of its inverse, modulo 2**64."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 20)
-        _POWERS[:] = [np.cumprod(np.r_[U(1), np.full(size - 1, U(b))]) for b in (BASE, pow(BASE, -1, 1 << 64))]
-    return _POWERS[0][:n], _POWERS[1][:n]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> U(29))) * U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U(32))) * U(0x94D049BB133111EB)
@@ -69,20 +61,34 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def words_of(texts: list[str], fold: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and line number of every word, and each text's first line number (and the number of lines)."""
+    """Hash and line number of every word, and each text's first line number (and the number of lines).
+
+    Words are hashed by eight bytes at once: what is kept per byte of text is a few bytes, not several numbers.
+    """
+    from xxhash import xxh3_64_intdigest
+
     parts = [t.encode("utf-8", "surrogatepass") for t in texts]
     parts = [p.lower() for p in parts] if fold else parts
-    data = np.frombuffer(b"\n".join(parts), np.uint8)
+    whole = b"\n".join(parts)
+    data = np.frombuffer(whole, np.uint8)
     first = np.cumsum([0, *(p.count(b"\n") + 1 for p in parts)])
     space = np.ones(len(data) + 2, bool)
-    space[1:-1] = SPACE[data]
-    starts = np.flatnonzero(space[:-2] & ~space[1:-1])
-    ends = np.flatnonzero(~space[1:-1] & space[2:]) + 1
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U)
-    np.cumsum(BYTE_HASH[data] * up[: len(data)], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U))
-    return hashes, np.cumsum(data == 10)[starts], first
+    space[1:-1] = (data - np.uint8(9) < 5) | (data == 32)
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    size = ends - starts
+    eight = np.ndarray(len(whole) + 1, "<u8", whole + bytes(8), strides=(1,))
+    hashes = mixed((eight[starts] & FIRST[np.minimum(size, 8)]) + size.astype(U) * U(BASE))
+    go, at = np.flatnonzero((size > 8) & (size <= LONG)), 8
+    while len(go):
+        more = eight[starts[go] + at] & FIRST[np.minimum(size[go] - at, 8)]
+        hashes[go] = mixed((hashes[go] ^ more) * U(3) + U(1))
+        at += 8
+        go = go[size[go] > at]
+    for k in np.flatnonzero(size > LONG).tolist():
+        hashes[k] = xxh3_64_intdigest(whole[starts[k] : ends[k]])
+    breaks = np.searchsorted(starts, np.flatnonzero(data == 10))
+    return hashes, np.repeat(np.arange(len(breaks) + 1), np.diff(breaks, prepend=0, append=len(starts))), first
 
 
 def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -95,10 +101,20 @@ def rarity(df: DataFrame, text_col: str, hashes_of: Callable[[list[str]], np.nda
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << RARITY_BITS, np.int64)
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            counts[:] += np.bincount(np.concatenate(held), minlength=len(counts))
+            held.clear()
+
         for batch in batches:
             for part in slices(batch, SLICE):
                 hashes = hashes_of([t for t in part.column(0).to_pylist() if t] or [""])
-                counts += np.bincount((hashes >> U(64 - RARITY_BITS)).astype(np.int64), minlength=len(counts))
+                held.append((hashes >> U(64 - RARITY_BITS)).astype(np.int32))
+                if sum(map(len, held)) >= len(counts):  # a table's worth of words at once
+                    add()
+        if held:
+            add()
         yield from table_parts(counts)
 
     return class_of(summed_counts(df.select(text_col).mapInArrow(count, "part int, counts binary"))).astype(np.uint16)
@@ -248,10 +264,11 @@ def linked(p: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, n
 
     side: the block of each posting if two blocks meet (only pairs of both count).
     """
-    order = np.lexsort((p["size"], p["key"]))
-    p, side = p[order], None if side is None else side[order]
-    key, size, place = p["key"], p["size"].astype(np.int64), p["place"].astype(np.int64)
-    narrow = p["low"] ^ p["high"]  # the halves of a long signature make a short one
+    order = np.argsort(p["key"].astype(U) << U(32) | p["size"])
+    key, line, low, high = (p[name][order] for name in ("key", "line", "low", "high"))
+    size, place = p["size"][order].astype(np.int32), p["place"][order].astype(np.int32)
+    side = None if side is None else side[order]
+    narrow = low ^ high  # the halves of a long signature make a short one
     rows = np.flatnonzero(key[1:] == key[:-1])
     held: list[tuple[np.ndarray, np.ndarray]] = []
     step = 0
@@ -259,25 +276,25 @@ def linked(p: np.ndarray, side: np.ndarray | None = None) -> tuple[np.ndarray, n
         step += 1
         rows = rows[rows + step < len(p)]
         other = rows + step
-        # sizes ascend within a key: a row whose partner is too long has no further one
-        near = (key[rows] == key[other]) & (TOP * size[other] <= BOTTOM * size[rows])
-        rows, other = rows[near], other[near]
-        step_rows = rows
-        if side is not None:
-            across = side[rows] != side[other]
-            rows, other = rows[across], other[across]
         a, b = size[rows], size[other]
+        # sizes ascend within a key: a row whose partner is too long has no further one
+        near = (key[rows] == key[other]) & (TOP * b <= BOTTOM * a)
+        rows, other, a, b = rows[near], other[near], a[near], b[near]
         overlap = -(-TOP * (a + b) // (TOP + BOTTOM))
-        fits = 1 + np.minimum(a - place[rows], b - place[other]) - 1 >= overlap
-        differ = np.bitwise_count(narrow[rows] ^ narrow[other]).astype(np.int64)
-        both = (a >= WIDE) & (b >= WIDE)
-        differ = np.where(
-            both, np.bitwise_count(p["low"][rows] ^ p["low"][other]).astype(np.int64) + np.bitwise_count(p["high"][rows] ^ p["high"][other]), differ
-        )
-        good = fits & (differ <= a + b - 2 * overlap) & (p["line"][rows] != p["line"][other])
-        held.append((p["line"][rows[good]], p["line"][other[good]]))
-        rows = step_rows
-        if sum(len(a) for a, _ in held) > PACKED:
+        good = np.minimum(a - place[rows], b - place[other]) >= overlap
+        if side is not None:
+            good &= side[rows] != side[other]
+        # signatures of those only whose places leave room
+        x, y, a, b, overlap = rows[good], other[good], a[good], b[good], overlap[good]
+        differ = np.bitwise_count(narrow[x] ^ narrow[y]).astype(np.int32)
+        wide = np.flatnonzero((a >= WIDE) & (b >= WIDE))
+        if len(wide):
+            u, v = x[wide], y[wide]
+            differ[wide] = np.bitwise_count(low[u] ^ low[v]).astype(np.int32) + np.bitwise_count(high[u] ^ high[v])
+        x, y = line[x], line[y]
+        good = (differ <= a + b - 2 * overlap) & (x != y)
+        held.append((x[good], y[good]))
+        if sum(len(a) for a, _ in held) > PAIRS:
             held = [spanning(held)]
     return spanning(held)
 
@@ -370,7 +387,8 @@ def dealt(sets: DataFrame, deal: Deal) -> DataFrame:
         def out() -> pa.RecordBatch:
             p = np.concatenate(held)
             row, part = deal.parts_of(p)
-            order = np.argsort(part, kind="stable")
+            # short numbers are sorted by their digits
+            order = np.argsort(part.astype(np.uint16) if part.max() < 1 << 16 else part, kind="stable")
             row, part = row[order], part[order]
             cut = np.flatnonzero(np.diff(part)) + 1
             numbers = part[np.r_[0, cut]]
@@ -498,7 +516,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         .select("h1", "h2", "at", (F.col("at") != F.col("last")).alias("copied"), "set.*"),
         "line-sets",
     )
-    parts = max(16, -(-sets.count() // 50_000))
+    parts = max(16, -(-sets.count() // PART))
     links = components(candidate_links(sets, parts))
     members = stored(links.unionByName(links.select(F.col("root").alias("node"), "root")).distinct(), "members")
     crowds = members.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))

@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -156,6 +157,22 @@ def test_lines(spark, texts, common, monkeypatch):
     assert sorted((str(r.doc_id), str(r.text)) for r in found) == sorted((str(i), str(wanted.get((i, t), t))) for i, t in texts)
 
 
+def test_words_of_a_text_are_told_apart_within_little_memory():
+    """Words that differ in one byte, also by a NUL or in length, at all lengths; few bytes are held per byte of text."""
+    words = [w for n in (*range(1, 20), 63, 64, 65, 66, 200) for w in ("a" * n, "a" * (n - 1) + "b", "a" * n + "\0", "\0" * n)]
+    texts = ["", " \n ", *words, " ".join(words), "\n\t".join(words) + "\x0b\x0c\r"]
+    hashes, line, first = lines.words_of(texts)
+    flat = [(w, n) for n, part in enumerate("\n".join(texts).split("\n")) for w in part.encode().split()]
+    assert line.tolist() == [n for _, n in flat] and first.tolist()[:4] == [0, 1, 3, 4]
+    assert len(set(zip([w for w, _ in flat], hashes.tolist()))) == len({w for w, _ in flat}) == len(set(hashes.tolist()))
+    text = " ".join(f"word{k}" for k in range(100_000))
+    tracemalloc.start()
+    lines.words_of([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(text)
+
+
 @pytest.mark.parametrize("sizes", [(65530, 65540), (70000, 70000)])
 def test_lines_of_more_words_than_16_bits_count(spark, sizes):
     prepare(spark)
