@@ -4,6 +4,7 @@ import math
 import random
 import re
 import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -120,6 +121,74 @@ def test_suffix(spark, texts, shard, monkeypatch):
     assert any(r.spans for r in found)
 
 
+def covered_by_brute_force(data):
+    """Of each text the bytes that stay."""
+    count = Counter(d[k : k + 400] for d in data for k in range(len(d) - 399))
+    kept = []
+    for d in data:
+        covered = [False] * len(d)
+        for k in range(len(d) - 399):
+            if count[d[k : k + 400]] > 1:
+                covered[k : k + 400] = [True] * 400
+        kept.append(bytes(x for x, c in zip(d, covered) if not c))
+    return kept
+
+
+def test_regions_of_a_hot_anchor_are_not_dealt_two_by_two(spark, monkeypatch):
+    """One header in all documents, and one of 50 second passages: what the shards are dealt grows with the regions."""
+    prepare(spark)
+    monkeypatch.setattr(suffix, "SHARD", 3000)
+    r = random.Random(12)
+    word = lambda: "".join(r.choice(["ta", "ri", "no", "el", "sé", "mu", "ko"]) for _ in range(r.randint(1, 4)))
+    line = lambda k: " ".join(word() for _ in range(k))
+    header, seconds = line(110), [line(40) for _ in range(50)]
+    texts = [(k, f"{line(r.randint(1, 70))} {header} {r.choice(seconds)} {line(r.randint(1, 50))}") for k in range(240)]
+    dealt = []
+
+    def counted(rows):
+        dealt.append(rows.agg(F.count("*").alias("n"), F.countDistinct("hash", "region").alias("regions")).first())
+        return searched(rows)
+
+    searched = suffix.searched
+    monkeypatch.setattr(suffix, "searched", counted)
+    found = suffix.without_repeats(rows_of(spark, texts)).collect()
+    data = [t.encode() for _, t in texts]
+    assert [bytes(x.kept) for x in sorted(found, key=lambda x: x.id)] == covered_by_brute_force(data)
+    assert len(dealt) > 1 and dealt[0].regions and all(x.n <= suffix.MEET * x.regions for x in dealt)
+
+
+@pytest.mark.parametrize("width", [48, 6, 1])
+def test_pieces_hold_every_string_of_a_region_once(width):
+    """Equal strings lie in pieces of one core and block; a piece of one distance is its core."""
+    r = random.Random(3)
+    shared = "".join(r.choice("abcdefgh") for _ in range(700))
+    texts = ["".join(r.choice("abcdefgh") for _ in range(n)) + shared + "".join(r.choice("abcdefgh") for _ in range(n)) for n in (0, 5, 300)]
+    texts += ["ab" * 300, "x" * 450]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    _, first, last = suffix.anchors(data, np.cumsum([len(t) for t in texts]))
+    regions = [data[a : b + suffix.LENGTH] for a, b in zip(first, last)]
+    ends = np.cumsum([len(x) for x in regions])
+    whole = np.concatenate(regions).tobytes()
+    keys, starts = {}, []
+    for of, begin, end, core, core_end, block in zip(*(x.tolist() for x in suffix.pieces(np.frombuffer(whole, np.uint8), ends, width))):
+        assert 0 < end - begin - suffix.LENGTH + 1 <= width and begin <= core < core_end <= end
+        assert ends[of] - len(regions[of]) <= begin and end <= ends[of]
+        assert width > 1 or (begin, end) == (core, core_end)
+        for k in range(begin, end - suffix.LENGTH + 1):
+            starts.append(k)
+            assert keys.setdefault(whole[k : k + suffix.LENGTH], (block, whole[core:core_end])) == (block, whole[core:core_end])
+    assert sorted(starts) == [int(k) for a, b in zip(ends - [len(x) for x in regions], ends) for k in range(a, b - suffix.LENGTH + 1)]
+
+
+def test_regions_are_cut_to_strings_that_may_repeat():
+    r = random.Random(8)
+    text = lambda n: "".join(r.choice("abcdefgh") for _ in range(n)).encode()
+    shared = text(410)
+    rows = [(1, 2, 9, k, (0, k), 1000, d) for k, d in enumerate([text(20) + shared + text(30), text(500), text(400), shared[:405]])]
+    rows.append((2, 2, 9, 4, (0, 4), 0, shared))  # of another shard
+    assert suffix.pruned(rows) == [(1, 2, 9, 0, (0, 0), 1020, shared[:405], 20), (1, 2, 9, 3, (0, 3), 1000, shared[:405], 0)]
+
+
 def test_suffix_array_and_prefixes():
     r = random.Random(6)
     regions = ["".join(r.choice("ab") for _ in range(r.randint(1, 60))).encode() for _ in range(30)] + [b"ab" * 300] * 2
